@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -66,7 +66,7 @@ class SnapshotTable:
 
         The batch id commits together with the rows, so a replayed batch cannot be added twice.
         """
-        if not self.batches().filter(f"batch_id = '{batch_id}'").isEmpty():
+        if not self.batches().filter(F.col("batch_id") == batch_id).isEmpty():
             return False
         self.publish(change(self.read()), batch_id)
         return True
