@@ -78,14 +78,15 @@ def running(
     max_group_rows: int | None = None,
     slices: int | None = None,
     bounded: bool = False,
+    inclusive: bool = True,
 ) -> DataFrame:
     """Running aggregates from the start of each group to the current row.
 
     ``order_by`` must be unique within ``keys`` (end it with a tie-break). ``measures`` maps an
     output name to ``(function, column)`` with function one of sum, count, max, min, last
-    (the latest non-NULL value).
+    (the latest non-NULL value). ``inclusive=False`` stops at the row before.
     """
-    frame = (Window.unboundedPreceding, Window.currentRow)
+    frame = (Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     order = order_columns(order_by)
     if not must_split(df, keys, max_group_rows, bounded):
         window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
@@ -95,13 +96,14 @@ def running(
     window = Window.partitionBy(*group).orderBy(*order)
     local = _sliced(df, keys, order_by, slices).withColumns(
         {out: _RUNNING[fn](col).over(window.rowsBetween(*frame)) for out, (fn, col) in measures.items()}
+        | {f"__i_{out}": _RUNNING[fn](col).over(window.rowsBetween(Window.unboundedPreceding, 0)) for out, (fn, col) in measures.items()}
         | {_LAST: F.lead(F.lit(1)).over(window).isNull()}
     )
     # One row per (slice, key): at most `slices` rows per key, so this window is bounded.
     before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     merge = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min, "last": _RUNNING["last"]}
     carried = local.filter(_LAST).select(
-        *group, *[merge[fn](F.col(out)).over(before).alias(f"__c_{out}") for out, (fn, _) in measures.items()]
+        *group, *[merge[fn](F.col(f"__i_{out}")).over(before).alias(f"__c_{out}") for out, (fn, _) in measures.items()]
     )
     joined = _join_keys(local, carried, group)
     combined = {}

@@ -50,11 +50,8 @@ def rule_violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 def overlaps(df: DataFrame, keys: Sequence[str], valid_from: str, valid_to: str, tie_break: Sequence[str], **options) -> DataFrame:
     """Rows whose period starts before an earlier period of the same key has ended."""
     order = [valid_from, *tie_break]
-    reached = running(df, keys, order, {"__upto": ("max", F.col(valid_to)), "__n": ("count", F.lit(1))}, **options)
-    # The running maximum includes the row itself; drop it by looking at the row before.
-    earlier = reached.select(*keys, (F.col("__n") + 1).alias("__n"), F.col("__upto").alias("__earlier"))
-    joined = reached.join(earlier, [*keys, "__n"])
-    return joined.filter(F.col(valid_from) < F.col("__earlier")).select(*df.columns)
+    earlier = running(df, keys, order, {"__earlier": ("max", F.col(valid_to))}, inclusive=False, **options)
+    return earlier.filter(F.col(valid_from) < F.col("__earlier")).select(*df.columns)
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -48,6 +48,8 @@ def test_running(rows, keys, order):
                         F.count(F.lit(1)).over(w).alias("n"), F.max("v").over(w).alias("hi"),
                         F.min("v").over(w).alias("lo"), F.last("v", True).over(w).alias("l"))
     same(O.running(rows, keys, order, measures, **SPLIT), plain)
+    open_ended = O.running(rows, keys, order, measures, inclusive=False, bounded=True)
+    same(O.running(rows, keys, order, measures, inclusive=False, **SPLIT), open_ended)
 
 
 @pytest.mark.parametrize("keys", [["k"], []])
