@@ -155,11 +155,12 @@ def upsert_changed(
 
 def upsert_add(
     target: DataFrame, source: DataFrame, on: Sequence[str], add: Sequence[str], replace: Sequence[str] = (), *,
-    check_source: bool = True,
+    latest: Sequence[str] = (), check_source: bool = True,
 ) -> DataFrame:
-    """Accumulate measures on existing keys. Not idempotent: guard it with a batch ledger
-    (``SnapshotTable.apply_once``)."""
+    """Accumulate measures on existing keys; ``latest`` columns keep the larger value, ``replace``
+    columns the source's. Not idempotent: guard it with a batch ledger (``SnapshotTable.apply_once``)."""
     changes = {c: F.col(f"target.{c}") + _source(c) for c in add} | {c: _source(c) for c in replace}
+    changes |= {c: F.greatest(F.col(f"target.{c}"), _source(c)) for c in latest}
     return merge(target, source, on, [Matched(changes)], [_insert(target, source, {})], check_source=check_source)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lakemason.functions.columns import any_differs, differs
 from lakemason.operators.merge import Matched, NotMatched, merge, upsert_ignore, upsert_replace
-from lakemason.operators.ordered import framed
+from lakemason.operators.ordered import framed, must_split
 
 #: Fixed value: the open end of a version.
 OPEN_END = "9999-12-31 23:59:59"
@@ -62,33 +62,51 @@ def scd2(
         F.col(changed_at).cast(types["valid_from"]).alias("valid_from"), open_end.alias("valid_to"),
         F.lit(1).alias("__new"), *[F.col(c) for c in ties],
     )
+    timeline = stored.unionByName(fresh)
+    versions = _versions(timeline, key, tracked, tie_break, open_end, null_safe, max_group_rows)
+    result = versions.select(
+        *[F.col(c) if c != "is_current" else (F.col("valid_to") == open_end).alias("is_current") for c in dim.columns]
+    )
+    return untouched.unionByName(result)
+
+
+def _versions(
+    timeline: DataFrame, key: str, tracked: Sequence[str], tie_break: Sequence[str], open_end: Column,
+    null_safe: bool, max_group_rows: int | None,
+) -> DataFrame:
+    """Drop the no-ops of a timeline and close each version where the next one starts.
+
+    ``timeline`` has ``valid_from``, ``valid_to`` and ``__new`` (0 stored version, 1 change).
+    """
     order = ["valid_from", "__new", *tie_break]
-    options = {"max_group_rows": max_group_rows}
+    # Measured once; dropping no-ops only makes groups smaller.
+    split = must_split(timeline, [key], max_group_rows, False)
+    options = {"max_group_rows": 0} if split else {"bounded": True}
 
     def with_previous(w) -> dict[str, Column]:
         previous = {f"__p_{c}": F.lag(c).over(w) for c in tracked}
         return previous | {"__known": F.lag(F.lit(1)).over(w)}
 
-    timeline = framed(stored.unionByName(fresh), [key], order, with_previous, before=1, **options)
+    compared = framed(timeline, [key], order, with_previous, before=1, **options)
     changed = any_differs([(F.col(c), F.col(f"__p_{c}")) for c in tracked], null_safe)
-    kept = timeline.filter((F.col("__new") == 0) | F.col("__known").isNull() | changed)
+    kept = compared.filter((F.col("__new") == 0) | F.col("__known").isNull() | changed)
     kept = framed(kept, [key], order, lambda w: {"__next": F.lead("valid_from").over(w)}, after=1, **options)
     end = F.least(F.col("valid_to"), F.coalesce(F.col("__next"), open_end))
     # A version closed at its own start was overridden by a later row of the same instant.
-    versions = kept.withColumn("valid_to", end).filter(F.col("valid_from") < F.col("valid_to"))
-    result = versions.select(
-        *[F.col(c) if c != "is_current" else (F.col("valid_to") == open_end).alias("is_current") for c in dim.columns]
-    )
-    return untouched.unionByName(result)
+    return kept.withColumn("valid_to", end).filter(F.col("valid_from") < F.col("valid_to"))
 
 
-def history(events: DataFrame, key: str, tracked: Sequence[str], at: str, tie_break: Sequence[str], *, null_safe: bool = True, **options) -> DataFrame:
-    """Type-2 versions of a whole change log: an initial load of :func:`scd2`."""
-    types = {f.name: f.dataType.simpleString() for f in events.schema}
-    schema = ", ".join([f"{key} {types[key]}", *[f"{c} {types[c]}" for c in tracked],
-                        f"valid_from {types[at]}", f"valid_to {types[at]}", "is_current boolean"])
-    empty = events.sparkSession.createDataFrame([], schema)
-    return scd2(empty, events, key, tracked, at, tie_break, null_safe=null_safe, **options)
+def history(
+    events: DataFrame, key: str, tracked: Sequence[str], at: str, tie_break: Sequence[str], *,
+    null_safe: bool = True, max_group_rows: int | None = None,
+) -> DataFrame:
+    """Type-2 versions of a whole change log: the initial load of :func:`scd2`."""
+    open_end = F.lit(OPEN_END).cast(events.schema[at].dataType)
+    timeline = events.select(
+        key, *tracked, *tie_break, F.col(at).alias("valid_from"), open_end.alias("valid_to"), F.lit(1).alias("__new")
+    )
+    versions = _versions(timeline, key, tracked, tie_break, open_end, null_safe, max_group_rows)
+    return versions.select(key, *tracked, "valid_from", "valid_to", (F.col("valid_to") == open_end).alias("is_current"))
 
 
 def current(dim: DataFrame) -> DataFrame:

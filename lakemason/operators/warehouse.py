@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lakemason.functions.columns import date_key, days_between
+from lakemason.functions.columns import all_equal, date_key, days_between
 from lakemason.operators.ordered import number_rows, nth_rows, running
 from lakemason.sources.tables import days
 
@@ -152,16 +152,14 @@ def allocate(
     gaps = allocated.filter("__sum > 0").groupBy(*header).agg(
         *[(F.max(F.col(a).cast("decimal(14,2)")) - F.sum(o)).alias(f"__gap_{o}") for a, o in amounts.items()]
     )
-    pick = ["__weight", *[f"__tie{i}" for i in range(len(tie_break))]]
-    renamed = allocated.select(*header, F.col(weight).alias(pick[0]), *[F.col(t).alias(n) for t, n in zip(tie_break, pick[1:])])
-    largest = nth_rows(renamed, header, [f"-{pick[0]}", *pick[1:]]).join(gaps, list(header))
-    on = [allocated[h].eqNullSafe(largest[h]) for h in header] + [
-        allocated[c].eqNullSafe(largest[p]) for c, p in zip([weight, *tie_break], pick)
-    ]
-    fixed = allocated.join(largest, reduce(lambda a, b: a & b, on), "left")
+    picked = nth_rows(allocated.select(*header, weight, *tie_break), header, [f"-{weight}", *tie_break])
+    names = [*header, weight, *tie_break]
+    largest = picked.join(gaps, list(header)).select(*names, *[f"__gap_{o}" for o in amounts.values()])
+    same_row = all_equal(None, names, "a", "b")
+    fixed = allocated.alias("a").join(largest.alias("b"), same_row, "left")
     return fixed.select(
-        *[allocated[c] for c in lines.columns],
-        *[(allocated[o] + F.coalesce(F.col(f"__gap_{o}"), zero)).cast("decimal(14,2)").alias(o) for o in amounts.values()],
+        *[F.col(f"a.{c}") for c in lines.columns],
+        *[(F.col(f"a.{o}") + F.coalesce(F.col(f"b.__gap_{o}"), zero)).cast("decimal(14,2)").alias(o) for o in amounts.values()],
     )
 
 

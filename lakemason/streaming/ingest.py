@@ -49,7 +49,11 @@ def run_batches(
     """Apply ``change(current, batch)`` per micro-batch, at most once per batch id."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        table.apply_once(f"{job}-{batch_id}", lambda current: change(current, batch))
+        batch = batch.persist()  # read for its partitions, then for its rows
+        try:
+            table.apply_once(f"{job}-{batch_id}", batch, change)
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).foreachBatch(apply)
     writer = writer.trigger(processingTime=continuous_every) if continuous_every else writer.trigger(availableNow=True)
@@ -68,7 +72,7 @@ def accumulate(keys: Sequence[str], measures: dict[str, Column], latest: Column,
 
     def change(current: DataFrame, batch: DataFrame) -> DataFrame:
         totals = batch.groupBy(*keys).agg(*[F.sum(c).alias(o) for o, c in measures.items()], F.max(latest).alias(latest_out))
-        return upsert_add(current, totals, keys, list(measures), [latest_out], check_source=False)
+        return upsert_add(current, totals, keys, list(measures), latest=[latest_out], check_source=False)
 
     return change
 
