@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +19,6 @@ def local_session(app: str = "lakemason", cores: str | int = "*", shuffle_partit
         .config("spark.driver.memory", os.environ.get("LAKEMASON_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -42,12 +42,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder name in shared storage for an intermediate table."""
+    return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the written rows.
+    """Write ``df`` to a table in the checkpoint folder and continue from the written rows.
 
     Used where two branches must see the very same rows (range slices are sampled, so computing
     them twice could disagree) and where a loop would grow its plan without bound. The rows live
-    in shared storage, so a lost executor costs a re-read, not a wrong answer.
+    in shared storage, so a lost executor costs a re-read, not a wrong answer; as a columnar table
+    each later branch reads only the columns it needs.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

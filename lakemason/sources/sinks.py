@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakemason.session import checkpoint_dir
+from lakemason.session import scratch
 
-
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder name in shared storage for an intermediate table."""
-    return f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+__all__ = ["append", "create_as", "insert_select", "replace", "replace_table", "scratch", "temporary_view"]
 
 
 def append(df: DataFrame, path: str) -> None:
