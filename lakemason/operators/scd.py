@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakemason.functions.columns import any_differs, differs
-from lakemason.operators.merge import Matched, NotMatched, merge, upsert_ignore, upsert_replace
+from lakemason.operators.merge import Matched, NotMatched, latest_per_key, merge, upsert_ignore, upsert_replace
 from lakemason.operators.ordered import framed, must_split
 
 #: Fixed value: the open end of a version.
@@ -62,38 +62,51 @@ def scd2(
         F.col(changed_at).cast(types["valid_from"]).alias("valid_from"), open_end.alias("valid_to"),
         F.lit(1).alias("__new"), *[F.col(c) for c in ties],
     )
-    timeline = stored.unionByName(fresh)
-    versions = _versions(timeline, key, tracked, tie_break, open_end, null_safe, max_group_rows)
+    timeline = stored.unionByName(_last_per_instant(fresh, key, tie_break))
+    versions = _versions(timeline, key, tracked, open_end, null_safe, max_group_rows)
     result = versions.select(
         *[F.col(c) if c != "is_current" else (F.col("valid_to") == open_end).alias("is_current") for c in dim.columns]
     )
     return untouched.unionByName(result)
 
 
+def _last_per_instant(changes: DataFrame, key: str, tie_break: Sequence[str]) -> DataFrame:
+    """Of several changes of a key at one instant, the last one counts."""
+    if not tie_break:
+        return changes
+    return latest_per_key(changes, [key, "valid_from"], list(tie_break))
+
+
 def _versions(
-    timeline: DataFrame, key: str, tracked: Sequence[str], tie_break: Sequence[str], open_end: Column,
-    null_safe: bool, max_group_rows: int | None,
+    timeline: DataFrame, key: str, tracked: Sequence[str], open_end: Column, null_safe: bool, max_group_rows: int | None
 ) -> DataFrame:
     """Drop the no-ops of a timeline and close each version where the next one starts.
 
-    ``timeline`` has ``valid_from``, ``valid_to`` and ``__new`` (0 stored version, 1 change).
+    ``timeline`` has ``valid_from``, ``valid_to`` and ``__new`` (0 stored version, 1 change), and at
+    most one row of each kind per key and instant. All steps share one shuffle and one sort.
     """
-    order = ["valid_from", "__new", *tie_break]
-    # Measured once; dropping no-ops only makes groups smaller.
+    order = ["valid_from", "__new"]
+    # Measured once; dropping rows only makes groups smaller.
     split = must_split(timeline, [key], max_group_rows, False)
     options = {"max_group_rows": 0} if split else {"bounded": True}
+    previous = [f"__p_{c}" for c in tracked]
+
+    def without_no_ops(df: DataFrame) -> DataFrame:
+        compared = framed(
+            df, [key], order, before=1, **options,
+            columns=lambda w: {p: F.lag(c).over(w) for p, c in zip(previous, tracked)} | {"__known": F.lag(F.lit(1)).over(w)},
+        )
+        changed = any_differs([(F.col(c), F.col(p)) for c, p in zip(tracked, previous)], null_safe)
+        return compared.filter((F.col("__new") == 0) | F.col("__known").isNull() | changed).drop("__known", *previous)
 
-    def with_previous(w) -> dict[str, Column]:
-        previous = {f"__p_{c}": F.lag(c).over(w) for c in tracked}
-        return previous | {"__known": F.lag(F.lit(1)).over(w)}
+    def with_next(df: DataFrame) -> DataFrame:
+        return framed(df, [key], order, lambda w: {"__next": F.lead("valid_from").over(w)}, after=1, **options)
 
-    compared = framed(timeline, [key], order, with_previous, before=1, **options)
-    changed = any_differs([(F.col(c), F.col(f"__p_{c}")) for c in tracked], null_safe)
-    kept = compared.filter((F.col("__new") == 0) | F.col("__known").isNull() | changed)
-    kept = framed(kept, [key], order, lambda w: {"__next": F.lead("valid_from").over(w)}, after=1, **options)
-    end = F.least(F.col("valid_to"), F.coalesce(F.col("__next"), open_end))
-    # A version closed at its own start was overridden by a later row of the same instant.
-    return kept.withColumn("valid_to", end).filter(F.col("valid_from") < F.col("valid_to"))
+    kept = with_next(without_no_ops(timeline))
+    # A stored version changed at its own start is overridden; its successor may now be a no-op.
+    standing = kept.filter(F.col("__next").isNull() | (F.col("valid_from") < F.col("__next"))).drop("__next")
+    closed = with_next(without_no_ops(standing))
+    return closed.withColumn("valid_to", F.least(F.col("valid_to"), F.coalesce(F.col("__next"), open_end)))
 
 
 def history(
@@ -102,10 +115,10 @@ def history(
 ) -> DataFrame:
     """Type-2 versions of a whole change log: the initial load of :func:`scd2`."""
     open_end = F.lit(OPEN_END).cast(events.schema[at].dataType)
-    timeline = events.select(
+    changes = events.select(
         key, *tracked, *tie_break, F.col(at).alias("valid_from"), open_end.alias("valid_to"), F.lit(1).alias("__new")
     )
-    versions = _versions(timeline, key, tracked, tie_break, open_end, null_safe, max_group_rows)
+    versions = _versions(_last_per_instant(changes, key, tie_break), key, tracked, open_end, null_safe, max_group_rows)
     return versions.select(key, *tracked, "valid_from", "valid_to", (F.col("valid_to") == open_end).alias("is_current"))
 
 

@@ -138,7 +138,8 @@ def allocate(
     """
     subtotal = lines.groupBy(*header).agg(F.sum(weight).cast("decimal(24,4)").alias("__sum"))
     joined = lines.join(subtotal, list(header))
-    share = F.col(weight).cast("decimal(24,10)") / F.nullif(F.col("__sum"), F.lit(0).cast("decimal(24,4)"))
+    # Twenty digits of share times the amount fit one decimal, so only the result is rounded.
+    share = (F.col(weight).cast("decimal(24,10)") / F.nullif(F.col("__sum"), F.lit(0).cast("decimal(24,4)"))).cast("decimal(23,20)")
     zero = F.lit(0).cast("decimal(14,2)")
     columns = {
         out: F.when(F.col("__sum") > 0, F.round(share * F.col(amount).cast("decimal(14,2)"), 2)).otherwise(zero).cast("decimal(14,2)")

@@ -42,6 +42,17 @@ _CUSTOMER_SQL = """dim_customer AS (SELECT row_number() OVER (ORDER BY c_custkey
 _PRODUCT_SQL = f"""dim_product AS (SELECT row_number() OVER (ORDER BY p_partkey) AS product_sk, p_partkey, p_name, p_brand,
     COALESCE(NULLIF(p_type, 'PROMO'), 'Uncategorized') AS category, {m('p_retailprice')} AS cost_price FROM part
     UNION ALL SELECT -1, NULL, 'Unknown Product', 'Unknown Brand', 'Uncategorized', 0)"""
+def _cents(x: str) -> str:
+    return f"CAST({x} * 100 AS HUGEINT)"
+
+
+def _share_sql(weight: str, total: str, amount: str) -> str:
+    """Exact half-up share in integers: twenty digits of ratio, then the amount in cents."""
+    one = "CAST(100000000000000000000 AS HUGEINT)"
+    ratio20 = f"((2 * {_cents(weight)} * {one} + {_cents(total)}) // (2 * {_cents(total)}))"
+    return f"CAST((2 * {ratio20} * {_cents(amount)} + {one}) // (2 * {one}) AS DOUBLE) / 100"
+
+
 # A tenth of the orders carries a customer key that no dimension row has.
 _FACT_SQL = f"""raw AS (SELECT l.*, o.*, {m('l_extendedprice')} AS net, {m('l_quantity')} AS quantity,
     SUM({m('l_extendedprice')}) OVER (PARTITION BY l_orderkey) AS subtotal FROM lineitem l JOIN orders o ON l_orderkey = o_orderkey),
@@ -49,7 +60,7 @@ _FACT_SQL = f"""raw AS (SELECT l.*, o.*, {m('l_extendedprice')} AS net, {m('l_qu
     COALESCE(p.product_sk, -1) AS product_fk, o_orderkey AS order_number, o_orderstatus AS order_status, quantity,
     net AS net_sales, ROUND(quantity * COALESCE(p.cost_price, 0), 2) AS cost_amount,
     ROUND(net - quantity * COALESCE(p.cost_price, 0), 2) AS margin,
-    CASE WHEN subtotal > 0 THEN {r(f"CAST(net AS DOUBLE) / CAST(subtotal AS DOUBLE) * CAST({m('o_totalprice')} AS DOUBLE)")} ELSE 0 END AS allocated
+    CASE WHEN subtotal > 0 THEN {_share_sql('net', 'subtotal', m('o_totalprice'))} ELSE 0 END AS allocated
   FROM raw LEFT JOIN dim_date d ON d.date_key = CAST(strftime(o_orderdate, '%Y%m%d') AS INT)
   LEFT JOIN dim_customer dc ON dc.c_custkey = CASE WHEN o_custkey % 10 = 3 THEN -o_custkey ELSE o_custkey END
   LEFT JOIN dim_product p ON p.p_partkey = l_partkey)"""
@@ -175,7 +186,7 @@ _LINE = "int: l_orderkey l_linenumber l_partkey l_suppkey; float: allocated"
 
 
 @query("dw_allocate", _LINE, f"""
-    SELECT {LINE_KEY}, CASE WHEN s > 0 THEN {r(f"CAST(w AS DOUBLE) / CAST(s AS DOUBLE) * CAST({m('o_totalprice')} AS DOUBLE)")} ELSE 0 END AS allocated
+    SELECT {LINE_KEY}, CASE WHEN s > 0 THEN {_share_sql('w', 's', m('o_totalprice'))} ELSE 0 END AS allocated
     FROM (SELECT *, {m('l_extendedprice')} AS w, SUM({m('l_extendedprice')}) OVER (PARTITION BY l_orderkey) AS s FROM lineitem)
     JOIN orders ON l_orderkey = o_orderkey""")
 def _(t: Tables):
