@@ -77,7 +77,9 @@ class SnapshotTable:
         if self._fs.exists(folder):  # left behind by a job that died before its commit
             self._fs.delete(folder, True)
         data = f"{self.path}/v={target}/data"
-        self._label(state.select(*self.schema.fieldNames())).write.partitionBy(_PART).parquet(data)
+        # Rebalancing gives each partition few files, and splits one that is too large for a task.
+        rows = self._label(state.select(*self.schema.fieldNames())).hint("rebalance", _PART)
+        rows.write.partitionBy(_PART).parquet(data)
         written = [s.getPath().getName() for s in self._fs.listStatus(self._child(f"v={target}/data"))]
         fresh = {name.split("=", 1)[1]: target for name in written if name.startswith(f"{_PART}=")}
         kept = {p: v for p, v in self._manifest(current).items() if parts is not None and p not in parts}
