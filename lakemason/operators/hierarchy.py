@@ -61,10 +61,11 @@ def ancestors(nodes: DataFrame, node: str, parent: str, label: str, target: Colu
     return _levels(start, climb)
 
 
-def closure(nodes: DataFrame, node: str, parent: str) -> DataFrame:
+def closure(nodes: DataFrame, node: str, parent: str, *, is_tree: bool = False) -> DataFrame:
     """Every (ancestor, descendant) pair with its shortest distance; a node is its own ancestor at 0.
 
-    A pair already found is not followed again, so cyclic input ends as well.
+    A pair already found is not followed again, so cyclic input ends as well. ``is_tree=True``
+    states that every node has one parent and there is no cycle; that check is then skipped.
     """
     edges = nodes.select(F.col(node).alias("__n"), F.col(parent).alias("__p"))
     level = cut(
@@ -74,8 +75,11 @@ def closure(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     while not level.isEmpty():
         reached = level.join(edges, F.col("descendant_id") == F.col("__p")).select(
             "ancestor_id", F.col("__n").alias("descendant_id"), (F.col("depth") + 1).alias("depth")
-        ).dropDuplicates(["ancestor_id", "descendant_id"])
-        level = cut(reached.join(found, ["ancestor_id", "descendant_id"], "left_anti"))
+        )
+        if not is_tree:
+            pair = ["ancestor_id", "descendant_id"]
+            reached = reached.dropDuplicates(pair).join(found, pair, "left_anti")
+        level = cut(reached)
         found = found.unionByName(level)
     return found
 

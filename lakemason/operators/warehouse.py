@@ -68,20 +68,20 @@ def with_unknown(dim: DataFrame, member: dict[str, object]) -> DataFrame:
     return dim.unionByName(row)
 
 
-def assign_keys(existing: DataFrame, naturals: DataFrame, natural: Sequence[str], key: str, *, slices: int | None = None) -> DataFrame:
-    """Stable integer keys: known natural keys keep theirs, new ones continue after the maximum.
+def assign_keys(naturals: DataFrame, natural: Sequence[str], key: str, existing: DataFrame | None = None, *, slices: int | None = None) -> DataFrame:
+    """Stable integer keys: natural keys of ``existing`` keep theirs, new ones continue after the maximum.
 
     New keys are numbered in natural-key order over range slices, so the result does not depend on
     partitioning and is the same when the job runs again. Returns (natural..., key) for all.
     """
-    known = existing.filter(F.col(key) > 0).select(*natural, key)
-    fresh = naturals.select(*natural).distinct().join(known, list(natural), "left_anti")
+    fresh = naturals.select(*natural).distinct()
+    if existing is None:
+        return number_rows(fresh, [], list(natural), key, slices=slices)
+    known = existing.filter(F.col(key) > 0).select(*natural, F.col(key).cast("bigint").alias(key))
     top = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("__top"))
-    numbered = number_rows(fresh, [], list(natural), "__rn", slices=slices)
+    numbered = number_rows(fresh.join(known, list(natural), "left_anti"), [], list(natural), "__rn", slices=slices)
     keyed = numbered.crossJoin(F.broadcast(top))  # one row
-    return known.withColumn(key, F.col(key).cast("bigint")).unionByName(
-        keyed.select(*natural, (F.col("__top") + F.col("__rn")).cast("bigint").alias(key))
-    )
+    return known.unionByName(keyed.select(*natural, (F.col("__top") + F.col("__rn")).cast("bigint").alias(key)))
 
 
 def lookup_key(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]], key: str, out: str, carry: dict[str, str] | None = None) -> DataFrame:
@@ -115,8 +115,7 @@ def role_view(dim: DataFrame, role: str) -> DataFrame:
 
 def snowflaked(dim: DataFrame, column: str, sub_key: str, **options) -> tuple[DataFrame, DataFrame]:
     """Split a repeated attribute off into a keyed sub-dimension: (sub_dim, dim with its key)."""
-    empty = dim.select(column).withColumn(sub_key, F.lit(0).cast("bigint")).limit(0)
-    sub = assign_keys(empty, dim.filter(F.col(column).isNotNull()), [column], sub_key, **options)
+    sub = assign_keys(dim.filter(F.col(column).isNotNull()), [column], sub_key, **options)
     return sub, dim.join(sub, column, "left").drop(column)
 
 

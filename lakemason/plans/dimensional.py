@@ -74,8 +74,7 @@ def calendar(t: Tables) -> DataFrame:
 
 def _keyed(dim: DataFrame, natural: str, key: str, member: dict[str, object]) -> DataFrame:
     """Assign surrogate keys to a fresh dimension and add its unknown member."""
-    empty = dim.select(natural).withColumn(key, F.lit(0).cast("bigint")).limit(0)
-    return W.with_unknown(W.assign_keys(empty, dim, [natural], key).join(dim, natural), member)
+    return W.with_unknown(W.assign_keys(dim, [natural], key).join(dim, natural), member)
 
 
 def customer_rows(t: Tables) -> DataFrame:
@@ -148,7 +147,7 @@ def _(t: Tables):
     from lakemason.operators.ordered import number_rows
     third = number_rows(t.customer.filter("c_custkey % 3 = 0").select("c_custkey"), [], ["c_custkey"], "rn")
     known = third.select("c_custkey", (c("rn") + 1000).cast("bigint").alias("customer_sk"))
-    return W.assign_keys(known, t.customer, ["c_custkey"], "customer_sk")
+    return W.assign_keys(t.customer, ["c_custkey"], "customer_sk", known)
 
 
 @query("dw_unknown_member", "int: o_orderkey customer_fk", f"""
@@ -202,11 +201,16 @@ def _(t: Tables):
     return lines.groupBy("l_orderkey").agg(F.sum("allocated").alias("allocated_total"), F.max("header_amount").alias("header_amount"))
 
 
-def fact_sales(t: Tables) -> DataFrame:
-    """Line-grain sales fact: allocation, key lookups, cost and margin."""
-    allocated = W.allocate(order_lines(t), ["l_orderkey"], "net", {"header_amount": "allocated"})
+def fact_sales(t: Tables, *, allocated: bool = True) -> DataFrame:
+    """Line-grain sales fact: allocation, key lookups, cost and margin.
+
+    Reports that do not use the allocated amount leave it out, and with it a join on the header.
+    """
+    lines = order_lines(t)
+    if allocated:
+        lines = W.allocate(lines, ["l_orderkey"], "net", {"header_amount": "allocated"})
     source_key = F.when(c("o_custkey") % 10 == 3, -c("o_custkey")).otherwise(c("o_custkey"))
-    lines = allocated.withColumns({"source_key": source_key, "day_key": date_key("o_orderdate")})
+    lines = lines.withColumns({"source_key": source_key, "day_key": date_key("o_orderdate")})
     lines = W.lookup_key(lines, calendar(t).select("date_key"), [("day_key", "date_key")], "date_key", "order_date_fk")
     lines = W.lookup_key(lines, dim_customer(t), [("source_key", "c_custkey")], "customer_sk", "customer_fk")
     lines = W.lookup_key(lines, dim_product(t), [("l_partkey", "p_partkey")], "product_sk", "product_fk", {"cost_price": "unit_cost"})
@@ -214,7 +218,7 @@ def fact_sales(t: Tables) -> DataFrame:
     return lines.select(
         *LINE_ID, "order_date_fk", "customer_fk", "product_fk", c("o_orderkey").alias("order_number"),
         c("o_orderstatus").alias("order_status"), "quantity", c("net").alias("net_sales"),
-        F.round(cost, 2).alias("cost_amount"), F.round(c("net") - cost, 2).alias("margin"), "allocated")
+        F.round(cost, 2).alias("cost_amount"), F.round(c("net") - cost, 2).alias("margin"), *(["allocated"] if allocated else []))
 
 
 _FACT_COLUMNS = ("int: l_orderkey l_linenumber l_partkey l_suppkey order_date_fk customer_fk product_fk order_number; text: order_status; "
@@ -232,7 +236,7 @@ def _(t: Tables):
 @query("dw_fact_verify", "int: total_rows; float: units net_sales margin", f"""{_STAR_SQL}
     SELECT COUNT(*) AS total_rows, SUM(quantity) AS units, SUM(net_sales) AS net_sales, SUM(margin) AS margin FROM fact""")
 def _(t: Tables):
-    return fact_sales(t).agg(F.count(F.lit(1)).alias("total_rows"), F.sum("quantity").alias("units"),
+    return fact_sales(t, allocated=False).agg(F.count(F.lit(1)).alias("total_rows"), F.sum("quantity").alias("units"),
                              F.sum("net_sales").alias("net_sales"), F.sum("margin").alias("margin"))
 
 
@@ -300,7 +304,7 @@ _MARGIN_SQL = r("SUM(margin) / NULLIF(SUM(net_sales), 0) * 100")
       SUM(margin) AS profit, {_MARGIN_SQL} AS margin_pct FROM fact JOIN dim_date ON order_date_fk = date_key
     JOIN dim_customer ON customer_fk = customer_sk GROUP BY 1, 2""")
 def _(t: Tables):
-    star = fact_sales(t).join(calendar(t), c("order_date_fk") == c("date_key")).join(dim_customer(t), c("customer_fk") == c("customer_sk"))
+    star = fact_sales(t, allocated=False).join(calendar(t), c("order_date_fk") == c("date_key")).join(dim_customer(t), c("customer_fk") == c("customer_sk"))
     return star.groupBy("year_month", "country").agg(
         F.count_distinct("order_number").alias("total_orders"), F.sum("quantity").alias("units"), F.sum("net_sales").alias("revenue"),
         F.sum("margin").alias("profit"), ratio(F.sum("margin"), F.sum("net_sales"), 2, 100).alias("margin_pct"))
@@ -311,7 +315,7 @@ def _(t: Tables):
       {r('SUM(net_sales) / COUNT(*)')} AS average_line FROM fact JOIN dim_date ON order_date_fk = date_key
     JOIN dim_product ON product_fk = product_sk GROUP BY 1, 2, 3""")
 def _(t: Tables):
-    star = fact_sales(t).join(calendar(t), c("order_date_fk") == c("date_key")).join(dim_product(t), c("product_fk") == c("product_sk"))
+    star = fact_sales(t, allocated=False).join(calendar(t), c("order_date_fk") == c("date_key")).join(dim_product(t), c("product_fk") == c("product_sk"))
     return star.groupBy("fiscal_year", "fiscal_quarter", "category").agg(
         F.sum("quantity").alias("units"), F.sum("net_sales").alias("sales"), F.sum("margin").alias("profit"),
         ratio(F.sum("net_sales"), F.count(F.lit(1))).alias("average_line"))
@@ -324,7 +328,7 @@ def _(t: Tables):
     ORDER BY spend DESC, customer_sk LIMIT 15""")
 def _(t: Tables):
     """Aggregated by key first; only the top customers are joined to their attributes."""
-    spend = fact_sales(t).filter("customer_fk <> -1").groupBy("customer_fk").agg(
+    spend = fact_sales(t, allocated=False).filter("customer_fk <> -1").groupBy("customer_fk").agg(
         F.count_distinct("order_number").alias("orders_placed"), F.sum("quantity").alias("items"), F.sum("net_sales").alias("spend"),
         F.sum("margin").alias("profit"), ratio(F.sum("margin"), F.sum("net_sales"), 1, 100).alias("margin_pct"))
     best = top_k(spend, ["-spend", "customer_fk"], 15)

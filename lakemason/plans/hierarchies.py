@@ -90,7 +90,7 @@ def _direct(t: Tables):
     FROM nodes n LEFT JOIN direct d ON d.id = n.id LEFT JOIN rolled x ON x.ancestor_id = n.id""")
 def _(t: Tables):
     nodes, direct = places(t), _direct(t)
-    rolled = H.rolled_up(H.closure(nodes, "id", "parent_id"), direct, "id",
+    rolled = H.rolled_up(H.closure(nodes, "id", "parent_id", is_tree=True), direct, "id",
                          {"direct_orders": "rolled_orders", "direct_revenue": "rolled_revenue"})
     zero = F.lit(0).cast("decimal(28,2)")
     joined = nodes.join(direct, "id", "left").join(rolled, "id", "left")
@@ -107,7 +107,7 @@ def _(t: Tables):
 def _(t: Tables):
     """Orders spanning several suppliers count once per ancestor."""
     lines = t.lineitem.select(F.concat(F.lit("S"), "l_suppkey").alias("id"), "l_orderkey")
-    return H.rolled_up_distinct(H.closure(places(t), "id", "parent_id"), lines, "id", "l_orderkey", "distinct_orders")
+    return H.rolled_up_distinct(H.closure(places(t), "id", "parent_id", is_tree=True), lines, "id", "l_orderkey", "distinct_orders")
 
 
 @query("gap_fill", "text: day; int: orders_count; float: revenue", f"""

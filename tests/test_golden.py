@@ -260,10 +260,12 @@ def test_dim_date(spark):
 
 
 def test_keys_are_stable(spark):
-    first = W.assign_keys(spark.createDataFrame([], "n string, sk bigint"), spark.createDataFrame([("b",), ("a",)], "n string"), ["n"], "sk", slices=3)
+    first = W.assign_keys(spark.createDataFrame([("b",), ("a",)], "n string"), ["n"], "sk", slices=3)
     assert rows(first) == [("a", 1), ("b", 2)]
-    second = W.assign_keys(first, spark.createDataFrame([("c",), ("a",), ("0",), ("c",)], "n string"), ["n"], "sk", slices=2)
+    news = spark.createDataFrame([("c",), ("a",), ("0",), ("c",)], "n string")
+    second = W.assign_keys(news, ["n"], "sk", first, slices=2)
     assert rows(second) == [("0", 3), ("a", 1), ("b", 2), ("c", 4)]
+    assert rows(W.assign_keys(news, ["n"], "sk", second, slices=2)) == rows(second)
 
 
 def test_allocation_residual(spark):
