@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -21,6 +22,21 @@ def order_columns(order_by: Sequence[str]) -> list[Column]:
     ]
 
 
+def literal(value: object) -> Column:
+    """A literal; a naive datetime becomes TIMESTAMP_NTZ, so no session time zone moves it and a
+    comparison with an NTZ column needs no cast."""
+    if isinstance(value, dt.datetime) and value.tzinfo is None:
+        return F.lit(value.isoformat(" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
+def utc_instant(column: str) -> Column:
+    """Instant of a zoneless timestamp read as UTC (watermarks need instants)."""
+    c = F.col(column)
+    seconds = F.extract(F.lit("SECOND"), c)
+    return F.make_timestamp_ltz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c), seconds, F.lit("UTC"))
+
+
 def money(column: str | Column, scale: int = 2) -> Column:
     """Exact decimal view of a floating amount, so that sums do not depend on row order."""
     value = F.col(column) if isinstance(column, str) else column
@@ -56,14 +72,14 @@ def after_row(order_by: Sequence[str], values: Sequence[object]) -> Column:
     result: Column | None = None
     for name, value in reversed(list(zip(order_by, values))):
         column = F.col(name.lstrip("-"))
-        past = column < F.lit(value) if name.startswith("-") else column > F.lit(value)
-        result = past if result is None else past | ((column == F.lit(value)) & result)
+        past = column < literal(value) if name.startswith("-") else column > literal(value)
+        result = past if result is None else past | ((column == literal(value)) & result)
     return result
 
 
 def day_range(column: str, start: object, end: object) -> Column:
     """Half-open ``[start, end)`` test on an unwrapped column, so the scan can use it."""
-    return (F.col(column) >= F.lit(start)) & (F.col(column) < F.lit(end))
+    return (F.col(column) >= literal(start)) & (F.col(column) < literal(end))
 
 
 def typed_equals(df, column: str, value: object) -> Column:

@@ -96,14 +96,18 @@ def running(
     window = Window.partitionBy(*group).orderBy(*order)
     local = _sliced(df, keys, order_by, slices).withColumns(
         {out: _RUNNING[fn](col).over(window.rowsBetween(*frame)) for out, (fn, col) in measures.items()}
-        | {f"__i_{out}": _RUNNING[fn](col).over(window.rowsBetween(Window.unboundedPreceding, 0)) for out, (fn, col) in measures.items()}
         | {_LAST: F.lead(F.lit(1)).over(window).isNull()}
     )
+    whole = {out: out for out in measures}  # column whose value on the last row is the slice total
+    if not inclusive:
+        upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = {out: f"__i_{out}" for out in measures}
+        local = local.withColumns({whole[out]: _RUNNING[fn](col).over(upto) for out, (fn, col) in measures.items()})
     # One row per (slice, key): at most `slices` rows per key, so this window is bounded.
     before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     merge = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min, "last": _RUNNING["last"]}
     carried = local.filter(_LAST).select(
-        *group, *[merge[fn](F.col(f"__i_{out}")).over(before).alias(f"__c_{out}") for out, (fn, _) in measures.items()]
+        *group, *[merge[fn](F.col(whole[out])).over(before).alias(f"__c_{out}") for out, (fn, _) in measures.items()]
     )
     joined = _join_keys(local, carried, group)
     combined = {}

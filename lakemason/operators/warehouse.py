@@ -184,14 +184,13 @@ def accumulating(orders: DataFrame, milestones: DataFrame, key: str, ordered_at:
     )
 
 
-def periodic_snapshot(daily: DataFrame, calendar: DataFrame, entity: str, day: str, value: str, out: str = "balance", **options) -> DataFrame:
-    """One row per entity and calendar day, carrying the last known value forward.
+def periodic_snapshot(daily: DataFrame, entity: str, day: str, value: str, last_day: str, out: str = "balance", **options) -> DataFrame:
+    """One row per entity and calendar day up to ``last_day``, carrying the last known value forward.
 
-    The calendar is bounded, so entities x days is the size of the requested result itself.
-    Days before an entity's first value have no row.
+    Days before an entity's first value have no row. ``daily`` has at most one row per entity and day.
     """
-    entities = daily.groupBy(entity).agg(F.min(day).alias("__first"))
-    grid = entities.crossJoin(F.broadcast(calendar)).filter(F.col(day) >= F.col("__first")).drop("__first")
+    spans = daily.groupBy(entity).agg(F.min(day).alias("__first")).filter(F.col("__first") <= F.lit(last_day).cast("date"))
+    grid = spans.select(entity, F.explode(F.sequence("__first", F.lit(last_day).cast("date"))).alias(day))
     filled = grid.join(daily, [entity, day], "left")
     return running(filled, [entity], [day], {out: ("last", F.col(value))}, **options).select(entity, day, out)
 

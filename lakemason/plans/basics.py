@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from lakemason.functions.columns import day_range, money, months, order_columns, ratio, typed_equals
+from lakemason.functions.columns import day_range, literal, money, months, order_columns, ratio, typed_equals
 from lakemason.operators import aggregates as A, setops as S, topk as K
 from lakemason.operators.ordered import nth_rows, running, with_totals
 from lakemason.plans.registry import Tables, m, query, r
@@ -390,7 +390,7 @@ def _(t: Tables):
     WHERE o_orderdate >= TIMESTAMP '2001-01-01' GROUP BY o_custkey""")
 def _(t: Tables):
     recent = t.orders
-    return recent.filter(c("o_orderdate") >= F.lit(dt.datetime(2001, 1, 1))).groupBy("o_custkey").agg(
+    return recent.filter(c("o_orderdate") >= literal(dt.datetime(2001, 1, 1))).groupBy("o_custkey").agg(
         F.sum(money("o_totalprice")).alias("recent_spend"))
 
 
@@ -447,7 +447,7 @@ def _(t: Tables):
     SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_custkey = 42
     AND o_orderdate >= TIMESTAMP '1996-01-01' ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 10""")
 def _(t: Tables):
-    wanted = t.orders.filter((c("o_custkey") == 42) & (c("o_orderdate") >= F.lit(dt.datetime(1996, 1, 1))))
+    wanted = t.orders.filter((c("o_custkey") == 42) & (c("o_orderdate") >= literal(dt.datetime(1996, 1, 1))))
     return K.top_k(wanted, ["-o_orderdate", "-o_orderkey"], 10).select(
         "o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("day"))
 

@@ -10,7 +10,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakemason.functions.columns import date_key, money, ratio
+from lakemason.functions.columns import date_key, literal, money, ratio
 from lakemason.operators import joins as J, warehouse as W
 from lakemason.operators.merge import upsert_ignore, upsert_replace
 from lakemason.operators.ordered import nth_rows
@@ -277,10 +277,9 @@ def _(t: Tables):
     SELECT g.user_id, g.day, (SELECT v FROM last l WHERE l.user_id = g.user_id AND l.rn = 1 AND l.day <= g.day ORDER BY l.day DESC LIMIT 1)
       AS balance FROM grid g""")
 def _(t: Tables):
-    from lakemason.sources.tables import days
     bought = t.events.filter("event_type = 'purchase'").withColumn("day", F.to_date("ts"))
     daily = nth_rows(bought, ["user_id", "day"], ["-ts", "-event_id"]).select("user_id", "day", money("value").alias("value"))
-    return W.periodic_snapshot(daily, days(t.spark, "2024-01-01", "2024-01-30"), "user_id", "day", "value")
+    return W.periodic_snapshot(daily, "user_id", "day", "value", "2024-01-30")
 
 
 @query("dw_drill_across", "text: year_month; float: sales_2000; int: visits", f"""
@@ -289,7 +288,7 @@ def _(t: Tables):
       FULL JOIN (SELECT strftime(ts, '%m') AS ym, COUNT(*) AS v FROM events GROUP BY 1) b ON a.ym = b.ym""")
 def _(t: Tables):
     """Two facts with different grains, aggregated to calendar month first and joined afterwards."""
-    in_2000 = (c("l_shipdate") >= F.lit(dt.datetime(2000, 1, 1))) & (c("l_shipdate") < F.lit(dt.datetime(2001, 1, 1)))
+    in_2000 = (c("l_shipdate") >= literal(dt.datetime(2000, 1, 1))) & (c("l_shipdate") < literal(dt.datetime(2001, 1, 1)))
     sales = t.lineitem.filter(in_2000).groupBy(F.date_format("l_shipdate", "MM").alias("year_month")).agg(F.sum(money("l_extendedprice")).alias("sales_2000"))
     visits = t.events.groupBy(F.date_format("ts", "MM").alias("year_month")).agg(F.count(F.lit(1)).alias("visits"))
     return W.drill_across({"sales": sales, "visits": visits}, ["year_month"])

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from lakemason.functions.columns import money, ratio
+from lakemason.functions.columns import literal, money, ratio
 from lakemason.operators import hierarchy as H
 from lakemason.plans.registry import Tables, m, query, r
 from lakemason.sources.tables import days
@@ -116,7 +116,7 @@ def _(t: Tables):
       SUM({m('o_totalprice')}) AS v FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) ON d = o_orderdate""")
 def _(t: Tables):
     in_year = t.orders.filter("o_orderstatus = 'F'").filter(
-        (c("o_orderdate") >= F.lit(dt.datetime(1996, 1, 1))) & (c("o_orderdate") < F.lit(dt.datetime(1997, 1, 1))))
+        (c("o_orderdate") >= literal(dt.datetime(1996, 1, 1))) & (c("o_orderdate") < literal(dt.datetime(1997, 1, 1))))
     daily = in_year.groupBy(F.to_date("o_orderdate").alias("day")).agg(
         F.count(F.lit(1)).alias("orders_count"), F.sum(money("o_totalprice")).alias("revenue"))
     return H.gap_filled(days(t.spark, "1996-01-01", "1996-12-31"), daily, "day", {"orders_count": 0, "revenue": 0})

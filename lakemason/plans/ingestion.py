@@ -9,7 +9,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakemason.functions.columns import money
+from lakemason.functions.columns import literal, money, utc_instant
 from lakemason.operators import merge as M, scd as D
 from lakemason.plans.joining import _VERSIONS, versions
 from lakemason.plans.registry import Tables, m, query
@@ -27,7 +27,7 @@ _PRODUCT = "int: p_partkey; text: p_name p_type; float: price; time: synced_at"
 
 def products(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", "p_name", "p_type", c("p_retailprice").cast("decimal(12,2)").alias("price"),
-                         F.lit(dt.datetime(2023, 1, 1)).cast("timestamp_ntz").alias("synced_at"))
+                         literal(dt.datetime(2023, 1, 1)).alias("synced_at"))
 
 
 def product_batch(t: Tables) -> DataFrame:
@@ -38,7 +38,7 @@ def product_batch(t: Tables) -> DataFrame:
         F.when(k % 15 == 0, F.concat("p_name", F.lit(" v2"))).otherwise(c("p_name")).alias("p_name"),
         F.when(k % 4 == 0, "STATUS ONLY").otherwise(c("p_type")).alias("p_type"),
         (c("p_retailprice").cast("decimal(12,2)") + F.when(k % 6 == 0, 5).otherwise(0)).cast("decimal(12,2)").alias("price"),
-        F.lit(LOADED).cast("timestamp_ntz").alias("synced_at"),
+        literal(LOADED).alias("synced_at"),
         F.when(k % 21 == 0, "DELETE").otherwise("UPSERT").alias("action"))
 
 
@@ -178,8 +178,8 @@ def _(t: Tables):
     with them a replay of the year before. The result is the history of the whole log."""
     log = t.orders.filter("o_orderstatus = 'F'").select(
         "o_custkey", c("o_orderpriority").alias("tier"), c("o_orderdate").alias("at"), "o_orderkey")
-    stored = D.history(log.filter(c("at") < F.lit(_CUT)), "o_custkey", ["tier"], "at", ["o_orderkey"])
-    batch = log.filter(c("at") >= F.lit(dt.datetime(1997, 1, 1)))
+    stored = D.history(log.filter(c("at") < literal(_CUT)), "o_custkey", ["tier"], "at", ["o_orderkey"])
+    batch = log.filter(c("at") >= literal(dt.datetime(1997, 1, 1)))
     return D.scd2(stored, batch, "o_custkey", ["tier"], "at", ["o_orderkey"], null_safe=True)
 
 
@@ -191,7 +191,7 @@ def _(t: Tables):
 @query("dw_scd2_asof", "int: o_custkey; text: tier",
        f"{_VERSIONS} SELECT o_custkey, tier FROM v WHERE valid_from <= TIMESTAMP '1997-06-15' AND TIMESTAMP '1997-06-15' < valid_to")
 def _(t: Tables):
-    return D.as_of_time(versions(t), F.lit(dt.datetime(1997, 6, 15)).cast("timestamp_ntz"))
+    return D.as_of_time(versions(t), literal(dt.datetime(1997, 6, 15)))
 
 
 # ---------------------------------------------------------------- streams
@@ -200,7 +200,7 @@ def _landing(df: DataFrame, column: str, deliveries: int = 3) -> tuple[str, int]
     spark, path = df.sparkSession, scratch(df.sparkSession, "landing")
     span = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
     edges = [span["lo"] + (span["hi"] - span["lo"]) * i / deliveries for i in range(1, deliveries)]
-    delivery = sum([F.when(c(column) >= F.lit(e), 1).otherwise(0) for e in edges], F.lit(0))
+    delivery = sum([F.when(c(column) >= literal(e), 1).otherwise(0) for e in edges], F.lit(0))
     for i in range(deliveries):
         df.filter(delivery == i).write.mode("append").parquet(path)
     return path, max(1, len(spark.read.schema(df.schema).parquet(path).inputFiles()) // deliveries)
@@ -226,7 +226,7 @@ def _(t: Tables):
     """Every event is delivered twice, a few minutes apart, and kept once."""
     twice = t.events.withColumn("ts", F.explode(F.array(c("ts"), c("ts") + F.expr("INTERVAL 5 MINUTES"))))
     path, files = _landing(twice, "ts")
-    stream = I.file_stream(t.spark, path, schema_of("events"), files_per_batch=files).withColumn("ts", c("ts").cast("timestamp"))
+    stream = I.file_stream(t.spark, path, schema_of("events"), files_per_batch=files).withColumn("ts", utc_instant("ts"))
     unique = I.without_redelivery(stream, "ts", ["event_id"], "2 hours").select("event_id", "user_id", "event_type")
     return _run(t, unique, unique.schema, lambda now, batch: now.unionByName(batch))
 
@@ -237,7 +237,7 @@ def _(t: Tables):
 def _(t: Tables):
     """Running counts per user, type and day are upserted; distinct types are counted on read."""
     path, files = _landing(t.events, "ts")
-    stream = I.file_stream(t.spark, path, schema_of("events"), files_per_batch=files).withColumn("ts", c("ts").cast("timestamp"))
+    stream = I.file_stream(t.spark, path, schema_of("events"), files_per_batch=files).withColumn("ts", utc_instant("ts"))
     counts = I.daily_counts(stream, "ts", ["user_id", "event_type"], "1 day")
     key = ["activity_date", "user_id", "event_type"]
     change = lambda now, batch: M.upsert_replace(now, batch, key, ["event_count"], check_source=False)

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from lakemason.functions.columns import date_key, money, ratio
+from lakemason.functions.columns import date_key, literal, money, ratio
 from lakemason.operators import joins as J
 from lakemason.operators.scd import history
 from lakemason.operators.warehouse import dim_date
@@ -51,7 +51,7 @@ def _(t: Tables):
     WHERE EXTRACT(quarter FROM o_orderdate) = 1 AND EXTRACT(year FROM o_orderdate) = 1997 GROUP BY 1, 2""")
 def _(t: Tables):
     """The quarter is written as a half-open range, so it reaches the scan of orders."""
-    quarter = t.orders.filter((c("o_orderdate") >= F.lit(dt.datetime(1997, 1, 1))) & (c("o_orderdate") < F.lit(dt.datetime(1997, 4, 1))))
+    quarter = t.orders.filter((c("o_orderdate") >= literal(dt.datetime(1997, 1, 1))) & (c("o_orderdate") < literal(dt.datetime(1997, 4, 1))))
     places = t.nation.join(t.region, c("n_regionkey") == c("r_regionkey"), "left")
     return (
         quarter.join(t.lineitem, c("l_orderkey") == c("o_orderkey"))

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from lakemason.functions.columns import money
+from lakemason.functions.columns import literal, money
 from lakemason.operators import layout as L
 from lakemason.operators.topk import top_k
 from lakemason.plans.registry import Tables, m, query
@@ -27,7 +27,7 @@ def _(t: Tables):
     path = scratch(t.spark, "sorted")
     L.write_sorted(t.orders, path, ["o_orderdate"])
     return _read(t, path, schema_of("orders")).filter(
-        (c("o_orderdate") >= F.lit(dt.datetime(1997, 3, 1))) & (c("o_orderdate") < F.lit(dt.datetime(1997, 4, 1))))
+        (c("o_orderdate") >= literal(dt.datetime(1997, 3, 1))) & (c("o_orderdate") < literal(dt.datetime(1997, 4, 1))))
 
 
 @query("lay_composite", "int: o_orderkey; text: o_orderstatus; float: o_totalprice", """
@@ -35,7 +35,7 @@ def _(t: Tables):
 def _(t: Tables):
     path = scratch(t.spark, "composite")
     L.write_composite(t.orders, path, ["o_orderstatus"], ["o_orderdate"])
-    return _read(t, path, schema_of("orders")).filter((c("o_orderstatus") == "F") & (c("o_orderdate") >= F.lit(dt.datetime(2001, 1, 1))))
+    return _read(t, path, schema_of("orders")).filter((c("o_orderstatus") == "F") & (c("o_orderdate") >= literal(dt.datetime(2001, 1, 1))))
 
 
 @query("lay_covering", "int: l_partkey; float: quantity revenue", f"""
@@ -72,7 +72,7 @@ def _(t: Tables):
 def _(t: Tables):
     path = scratch(t.spark, "partial")
     L.write_partial(t.orders, path, c("o_orderstatus") == "P", ["o_orderdate"])
-    return _read(t, path, schema_of("orders")).filter(c("o_orderdate") >= F.lit(dt.datetime(2001, 6, 1)))
+    return _read(t, path, schema_of("orders")).filter(c("o_orderdate") >= literal(dt.datetime(2001, 6, 1)))
 
 
 @query("lay_expression", "int: c_custkey; text: c_name", "SELECT c_custkey, c_name FROM customer WHERE c_name LIKE '%77'")

@@ -30,10 +30,14 @@ def without_redelivery(stream: DataFrame, event_time: str, keys: Sequence[str],
 
 
 def daily_counts(stream: DataFrame, event_time: str, keys: Sequence[str], delay: str) -> DataFrame:
-    """Events per key and tumbling day; rows later than ``delay`` are not counted."""
+    """Events per key and tumbling UTC day; rows later than ``delay`` are not counted."""
     day = F.window(event_time, "1 day")
     counted = stream.withWatermark(event_time, delay).groupBy(day, *keys).agg(F.count(F.lit(1)).alias("event_count"))
-    return counted.select(F.to_date(F.col("window.start")).alias("activity_date"), *keys, "event_count")
+    return counted.select(_utc_date(F.col("window.start")).alias("activity_date"), *keys, "event_count")
+
+
+def _utc_date(moment: Column) -> Column:
+    return F.date_from_unix_date(F.floor(F.unix_micros(moment) / 86_400_000_000).cast("int"))
 
 
 def run_batches(

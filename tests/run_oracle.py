@@ -14,6 +14,7 @@ from tests.oracle import compare, connect  # noqa: E402
 def main(folder: str, prefixes: list[str]) -> None:
     spark = local_session("oracle", cores=8, shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
+    spark.conf.set("spark.sql.session.timeZone", os.environ.get("ORACLE_TZ", "UTC"))
     con, sqls, bad = connect(folder), plans.oracle_sql(), 0
     for name, run in plans.queries().items():
         if prefixes and not any(name.startswith(p) for p in prefixes):
