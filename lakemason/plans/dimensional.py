@@ -197,7 +197,7 @@ def _(t: Tables):
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
 def _(t: Tables):
     """With the residual on the largest line, the lines add up to the header to the cent."""
-    lines = W.allocate(order_lines(t), ["l_orderkey"], "net", {"header_amount": "allocated"}, residual="largest", tie_break=LINE_ID[1:])
+    lines = W.allocate(order_lines(t), ["l_orderkey"], "net", {"header_amount": "allocated"}, residual="largest", tie_break=[*LINE_ID[1:], "quantity"])
     return lines.groupBy("l_orderkey").agg(F.sum("allocated").alias("allocated_total"), F.max("header_amount").alias("header_amount"))
 
 
@@ -227,10 +227,11 @@ _FACT_COLUMNS = ("int: l_orderkey l_linenumber l_partkey l_suppkey order_date_fk
 
 @query("dw_fact_sales", _FACT_COLUMNS, f"{_STAR_SQL} SELECT * FROM fact")
 def _(t: Tables):
-    """Loaded twice: a re-run of the upsert on the grain key leaves the same fact."""
+    """Loaded twice: a re-run of the upsert on the grain leaves the same fact. Line numbers repeat
+    within an order, so the grain includes what was sold; the merge fails if it is not unique."""
     fact = fact_sales(t)
     first = fact.filter("l_orderkey % 2 = 0").withColumn("order_status", F.lit("stale"))
-    return upsert_replace(first, fact, LINE_ID, ["order_status", "net_sales", "margin", "allocated"], check_source=False)
+    return upsert_replace(first, fact, [*LINE_ID, "quantity", "net_sales"], ["order_status", "margin", "allocated"])
 
 
 @query("dw_fact_verify", "int: total_rows; float: units net_sales margin", f"""{_STAR_SQL}
