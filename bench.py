@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 from lakemason import plans  # noqa: E402
 from lakemason.functions.columns import after_row, day_range, money, typed_equals  # noqa: E402
 from lakemason.operators import joins as J, layout as L, topk as K  # noqa: E402
+from lakemason.operators.ordered import attach  # noqa: E402
 from lakemason.plans.registry import Tables  # noqa: E402
 from lakemason.session import local_session, scratch  # noqa: E402
 
@@ -57,7 +58,7 @@ def rewrites(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "r01_date_range": read["by_date"].filter(day_range("o_orderdate", dt.datetime(1997, 6, 15), dt.datetime(1997, 6, 16))),
         "r02_suffix": customers.filter(c("reversed").startswith("24")),
         "r03_typed_literal": customers.filter(typed_equals(customers, "code", 500)),
-        "r04_preaggregated": items.crossJoin(F.broadcast(audits)),
+        "r04_preaggregated": attach(items, audits),
         "r05_join_not_subquery": K.top_k(vip, ["-spend", "c_custkey"], 50),
         "r06_keyset_page": page,
         "r07_not_exists": J.not_exists_in(t.customer, cancelled, [("c_custkey", "o_custkey")]),

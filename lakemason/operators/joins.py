@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakemason.operators.ordered import running, value_ranks
+from lakemason.operators.ordered import attach, running, value_ranks
 
 
 def _pairs(on: Sequence[str | tuple[str, str]]) -> list[tuple[str, str]]:
@@ -54,7 +54,7 @@ def not_in(left: DataFrame, right: DataFrame, left_key: str, right_key: str) ->
     )
     kept = not_exists_in(left, right.filter(F.col(right_key).isNotNull()), [(left_key, right_key)])
     return (
-        kept.crossJoin(F.broadcast(facts))  # one row
+        attach(kept, facts)
         .filter((F.col("__rows") == 0) | ((F.col("__nulls") == 0) & F.col(left_key).isNotNull()))
         .select(*left.columns)
     )
@@ -92,7 +92,7 @@ def fanout_report(before: DataFrame, after: DataFrame, grain: Sequence[str]) ->
         F.count(F.when(F.col("n") > 1, 1)).alias("multiplied_keys"),
         F.coalesce(F.max("n"), F.lit(0)).alias("max_copies"),
     )
-    return b.crossJoin(F.broadcast(a)).withColumn("fans_out", F.col("rows_after") > F.col("keys_after"))
+    return attach(b, a).withColumn("fans_out", F.col("rows_after") > F.col("keys_after"))
 
 
 def count_below(df: DataFrame, keys: Sequence[str], order_by: str, out: str = "below", **options) -> DataFrame:

@@ -129,12 +129,19 @@ def number_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], out
     return running(df, keys, order_by, {out: ("count", F.lit(1))}, **options)
 
 
+def attach(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row aggregate to every row, as a scalar subquery instead of a join.
+
+    More than one row fails the query.
+    """
+    value = row.select(F.struct("*").alias("v")).scalar()
+    return df.select("*", value.alias("__row")).select(*[F.col(f"`{c}`") for c in df.columns], "__row.*")
+
+
 def with_totals(df: DataFrame, keys: Sequence[str], totals: dict[str, Column]) -> DataFrame:
     """Add whole-group aggregates to every row: aggregate first, then join back."""
     sums = df.groupBy(*keys).agg(*[expr.alias(out) for out, expr in totals.items()])
-    if not keys:
-        return df.crossJoin(F.broadcast(sums))  # exactly one row
-    return _join_keys(df, sums, keys)
+    return _join_keys(df, sums, keys) if keys else attach(df, sums)
 
 
 def framed(

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakemason.functions.columns import order_columns, ratio
-from lakemason.operators.ordered import running, value_ranks, with_totals
+from lakemason.operators.ordered import attach, running, value_ranks, with_totals
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -95,7 +95,7 @@ def common_values(df: DataFrame, columns: Sequence[str], k: int) -> DataFrame:
     totals = df.agg(F.count(F.lit(1)).alias("__all"))
     order = Window.partitionBy("column_name").orderBy(*order_columns(["-n", "value"]))
     top = counts.withColumn("value_rank", F.row_number().over(order)).filter(F.col("value_rank") <= k)
-    return top.crossJoin(F.broadcast(totals)).select(  # one row
+    return attach(top, totals).select(
         "column_name", "value_rank", "value", F.col("n").alias("row_count"), ratio(F.col("n"), F.col("__all"), 4).alias("frequency")
     )
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakemason.functions.columns import all_equal, date_key, days_between
-from lakemason.operators.ordered import number_rows, nth_rows, running
+from lakemason.operators.ordered import attach, nth_rows, number_rows, running
 from lakemason.sources.tables import days
 
 # The unknown member of the date dimension, in column order.
@@ -80,7 +80,7 @@ def assign_keys(naturals: DataFrame, natural: Sequence[str], key: str, existing:
     known = existing.filter(F.col(key) > 0).select(*natural, F.col(key).cast("bigint").alias(key))
     top = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("__top"))
     numbered = number_rows(fresh.join(known, list(natural), "left_anti"), [], list(natural), "__rn", slices=slices)
-    keyed = numbered.crossJoin(F.broadcast(top))  # one row
+    keyed = attach(numbered, top)
     return known.unionByName(keyed.select(*natural, (F.col("__top") + F.col("__rn")).cast("bigint").alias(key)))
 
 

@@ -174,8 +174,7 @@ def _(t: Tables):
 @query("flt_scalar_sub", "int: o_orderkey; float: o_totalprice",
        "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice = (SELECT MAX(o_totalprice) FROM orders)")
 def _(t: Tables):
-    top = t.orders.agg(F.max("o_totalprice").alias("top"))
-    return t.orders.crossJoin(F.broadcast(top)).filter("o_totalprice = top")  # one row
+    return t.orders.filter(c("o_totalprice") == t.orders.agg(F.max("o_totalprice")).scalar())
 
 
 @query("flt_any_array", "int: p_partkey; text: p_name", """

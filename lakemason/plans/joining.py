@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakemason.functions.columns import date_key, literal, money, ratio
 from lakemason.operators import joins as J
+from lakemason.operators.ordered import attach
 from lakemason.operators.scd import history
 from lakemason.operators.warehouse import dim_date
 from lakemason.plans.registry import Tables, m, query, r
@@ -105,7 +106,7 @@ def _(t: Tables):
       (SELECT {r(f"SUM({m('p_retailprice')}) / COUNT(*)", 4)} AS mean FROM part)""")
 def _(t: Tables):
     mean = t.part.agg(ratio(F.sum(money("p_retailprice")), F.count(F.lit(1)), 4).alias("mean"))
-    return t.part.crossJoin(F.broadcast(mean)).withColumn("above_mean", money("p_retailprice") - c("mean"))  # one row
+    return attach(t.part, mean).withColumn("above_mean", money("p_retailprice") - c("mean"))
 
 
 @query("join_theta_rank", "int: p_partkey dearer; text: p_brand", """
@@ -146,7 +147,7 @@ def _(t: Tables):
     n = F.count(F.lit(1))
     trapped = J.not_in(t.orders, holed, "o_orderkey", "k").agg(n.alias("with_null"))
     plain = J.not_in(t.orders, t.lineitem, "o_orderkey", "l_orderkey").agg(n.alias("without_null"))
-    return trapped.crossJoin(F.broadcast(plain))  # one row each
+    return attach(trapped, plain)
 
 
 @query("join_role", _LINE + "; text: ordered_on ordered_day shipped_on; bool: ordered_weekend; int: days_to_ship", """
