@@ -64,9 +64,11 @@ def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 
 
 def _sliced(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], slices: int | None) -> DataFrame:
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Rows with the number of their range slice. Without a fixed count, adaptive execution merges
+    neighbouring slices of small inputs; ``spark.sql.shuffle.partitions`` is the upper bound."""
     ranges = [F.col(k).asc() for k in keys] + order_columns(order_by)
-    return cut(df.repartitionByRange(n, *ranges).withColumn(_SLICE, F.spark_partition_id()))
+    ranged = df.repartitionByRange(slices, *ranges) if slices else df.repartitionByRange(*ranges)
+    return cut(ranged.withColumn(_SLICE, F.spark_partition_id()))
 
 
 def running(

@@ -206,6 +206,16 @@ def _landing(df: DataFrame, column: str, deliveries: int = 3) -> tuple[str, int]
     return path, max(1, len(spark.read.schema(df.schema).parquet(path).inputFiles()) // deliveries)
 
 
+def _stream_session(t: Tables):
+    """A session of its own for the stream: state is kept per shuffle partition for the life of the
+    query, so there are at most as many as the cluster has cores."""
+    session = t.spark.newSession()
+    cores = t.spark.sparkContext.defaultParallelism
+    partitions = min(cores, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return session
+
+
 def _run(t: Tables, stream: DataFrame, schema, change, partition_by: str | None = None, **options) -> DataFrame:
     table = SnapshotTable(t.spark, scratch(t.spark, "stream-table"), schema, partition_by)
     I.run_batches(stream, table, change, scratch(t.spark, "stream-progress"), **options).awaitTermination()
@@ -216,7 +226,7 @@ def _run(t: Tables, stream: DataFrame, schema, change, partition_by: str | None
 def _(t: Tables):
     """Lines arrive file by file; monthly totals per part are accumulated batch by batch."""
     path, files = _landing(t.lineitem, "l_shipdate")
-    stream = I.file_stream(t.spark, path, schema_of("lineitem"), files_per_batch=files).withColumn("summary_date", F.trunc("l_shipdate", "month"))
+    stream = I.file_stream(_stream_session(t), path, schema_of("lineitem"), files_per_batch=files).withColumn("summary_date", F.trunc("l_shipdate", "month"))
     change = I.accumulate(["summary_date", "l_partkey"], {"units": money("l_quantity"), "revenue": money("l_extendedprice")}, c("l_shipdate"), "last_at")
     return _run(t, stream, summarized(sales(t)).schema, change, "summary_date")
 
@@ -226,7 +236,7 @@ def _(t: Tables):
     """Every event is delivered twice, a few minutes apart, and kept once."""
     twice = t.events.withColumn("ts", F.explode(F.array(c("ts"), c("ts") + F.expr("INTERVAL 5 MINUTES"))))
     path, files = _landing(twice, "ts")
-    stream = I.file_stream(t.spark, path, schema_of("events"), files_per_batch=files).withColumn("ts", utc_instant("ts"))
+    stream = I.file_stream(_stream_session(t), path, schema_of("events"), files_per_batch=files).withColumn("ts", utc_instant("ts"))
     unique = I.without_redelivery(stream, "ts", ["event_id"], "2 hours").select("event_id", "user_id", "event_type")
     return _run(t, unique, unique.schema, lambda now, batch: now.unionByName(batch))
 
@@ -237,7 +247,7 @@ def _(t: Tables):
 def _(t: Tables):
     """Running counts per user, type and day are upserted; distinct types are counted on read."""
     path, files = _landing(t.events, "ts")
-    stream = I.file_stream(t.spark, path, schema_of("events"), files_per_batch=files).withColumn("ts", utc_instant("ts"))
+    stream = I.file_stream(_stream_session(t), path, schema_of("events"), files_per_batch=files).withColumn("ts", utc_instant("ts"))
     counts = I.daily_counts(stream, "ts", ["user_id", "event_type"], "1 day")
     key = ["activity_date", "user_id", "event_type"]
     change = lambda now, batch: M.upsert_replace(now, batch, key, ["event_count"], check_source=False)
@@ -252,5 +262,5 @@ def _(t: Tables):
         "o_custkey", c("o_orderpriority").alias("tier"), c("o_orderdate").alias("at"), "o_orderkey")
     path, files = _landing(log, "at")
     schema = t.spark.createDataFrame([], VERSION_SCHEMA).schema
-    stream = I.file_stream(t.spark, path, log.schema, files_per_batch=files)
+    stream = I.file_stream(_stream_session(t), path, log.schema, files_per_batch=files)
     return _run(t, stream, schema, I.version_changes("o_custkey", ["tier"], "at", ["o_orderkey"]))
