@@ -39,6 +39,8 @@ ONE_LETTER, TWO_LETTERS = "stmd", ("re", "ve", "ll")
 
 #: Characters that are scanned together, and pieces that a worker remembers.
 CHUNK, REMEMBERED = 1 << 20, 400_000
+#: Pieces merged side by side, bytes above which a piece is merged by a heap instead, and the rank of no pair.
+TOGETHER, LONGEST, NONE = 2048, 100, (1 << 31) - 1
 
 
 def _step(state: int, kind: int) -> tuple[int, bool]:
@@ -126,24 +128,52 @@ def piece_starts(text: str, stops: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts.ravel().take(states * np.int32(CLASSES) + kinds))
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Merge the adjacent pair of lowest rank (the leftmost of equal ones) until none is left."""
-    if piece in ranks:
-        return [ranks[piece]]
-    if len(piece) > 200:
-        return _merge_long(piece, ranks)
-    none = len(ranks)
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    pairs = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
-    while pairs and (best := min(pairs)) < none:
-        i = pairs.index(best)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        del pairs[i]
-        if i:
-            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
-        if i < len(pairs):
-            pairs[i] = ranks.get(parts[i] + parts[i + 1], none)
-    return [ranks[p] for p in parts]
+def merge_all(pieces: list[bytes], vocabulary: Vocabulary) -> list[bytes]:
+    """Packed ids of distinct pieces. In each, the adjacent pair of lowest rank (the leftmost of equal
+    ones) is merged until none is left; pieces of like length take each step together."""
+    out: list[bytes] = [b""] * len(pieces)
+    order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
+    short = [i for i in order if len(pieces[i]) <= LONGEST]
+    for first in range(0, len(short), TOGETHER):
+        group = short[first : first + TOGETHER]
+        for i, ids in zip(group, _merge_rows([pieces[i] for i in group], vocabulary)):
+            out[i] = ids
+    for i in order[len(short) :]:
+        out[i] = np.array(_merge_long(pieces[i], vocabulary.ranks), "<u4").tobytes()
+    return out
+
+
+def _merge_rows(pieces: list[bytes], v: Vocabulary) -> list[bytes]:
+    sizes = np.array([len(p) for p in pieces])
+    width = int(sizes[-1])
+    ids = np.full((len(pieces), width + 2), NONE, np.int64)
+    ids[np.arange(width + 2) < sizes[:, None]] = v.bytes[np.frombuffer(b"".join(pieces), np.uint8)]
+    ranks = np.full((len(pieces), width + 1), NONE, np.int64)
+    both = ids[:, 1:] != NONE
+    ranks[both] = v.ranks_of(ids[:, :-1][both], ids[:, 1:][both])
+    rows, columns = np.arange(len(pieces)), np.arange(width + 2)
+    done = np.empty(ids.shape, np.int64)
+    while len(rows):
+        at = ranks.argmin(axis=1)
+        best = ranks[np.arange(len(rows)), at]
+        if not (going := best != NONE).all():
+            done[rows[~going], : ids.shape[1]] = ids[~going]
+            rows, ids, ranks, at, best = rows[going], ids[going], ranks[going], at[going], best[going]
+            if not len(rows):
+                break
+        each = np.arange(len(rows))
+        behind = columns[None, : ids.shape[1] - 1] > at[:, None]
+        ids = np.where(behind, ids[:, 1:], ids[:, :-1])
+        ids = np.concatenate([ids, np.full((len(rows), 1), NONE)], axis=1)
+        ids[each, at] = best
+        ranks = np.where(behind[:, : ranks.shape[1] - 1], ranks[:, 1:], ranks[:, :-1])
+        ranks = np.concatenate([ranks, np.full((len(rows), 1), NONE)], axis=1)
+        ranks[each, at] = v.ranks_of(best, ids[each, at + 1])
+        left = np.flatnonzero(at > 0)
+        ranks[left, at[left] - 1] = v.ranks_of(ids[left, at[left] - 1], best[left])
+    lengths = (done != NONE).sum(axis=1)
+    packed, stops = done[done != NONE].astype("<u4").tobytes(), np.cumsum(lengths) * 4
+    return [packed[b - 4 * n : b] for b, n in zip(stops.tolist(), lengths.tolist())]
 
 
 def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -172,40 +202,56 @@ def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[piece[i : stop[i]]] for i in range(n) if alive[i]]
 
 
-class _Pieces(dict):
-    """Packed ids by piece; forgets all when full, which changes no result."""
-
-    def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
-        self.ranks = ranks
-
-    def __missing__(self, piece: str) -> bytes:
-        packed = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
-        if len(piece) < 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = packed
-        return packed
-
-
 @functools.cache
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+class Vocabulary:
+    """Ranks of tokens, and of token pairs: the pair (a, b) has the rank of the token that its bytes spell."""
+
+    def __init__(self, path: str):
+        self.ranks = read_ranks(path)
+        self.tokens = [b""] * (max(self.ranks.values()) + 1)
+        for token, rank in self.ranks.items():
+            self.tokens[rank] = token
+        self.lengths = np.array([len(t) for t in self.tokens], np.uint32)
+        self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
+        pairs = {}
+        for token, rank in self.ranks.items():
+            for cut in range(1, len(token)):
+                a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
+                if a is not None and b is not None:
+                    pairs[a << 32 | b] = rank
+        keys = np.fromiter(pairs, np.int64, len(pairs))
+        order = np.argsort(keys)
+        self.pairs = np.append(keys[order], np.iinfo(np.int64).max)
+        self.pair_ranks = np.append(np.fromiter(pairs.values(), np.int64, len(pairs))[order], NONE)
+        self.pieces: dict[str, bytes] = {}
+
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left << 32 | right
+        at = self.pairs.searchsorted(keys)
+        return np.where(self.pairs[at] == keys, self.pair_ranks[at], NONE)
+
+    def remember(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids by piece, at least of these. The store is emptied when full, which changes no result."""
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
+        if new := list(set(pieces).difference(self.pieces)):
+            self.pieces.update(zip(new, merge_all([p.encode() for p in new], self)))
+        return self.pieces
+
+
 @functools.cache
-def _vocabulary(path: str) -> tuple[_Pieces, list[bytes], np.ndarray]:
-    ranks = read_ranks(path)
-    tokens = [b""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        tokens[rank] = token
-    return _Pieces(ranks), tokens, np.array([len(t) for t in tokens], np.uint32)
+def vocabulary(path: str) -> Vocabulary:
+    return Vocabulary(path)
 
 
 def encode_texts(texts: list[str], path: str) -> Iterator[bytes]:
     """Packed ids of each text; texts are scanned together up to CHUNK characters."""
-    pieces = _vocabulary(path)[0]
+    known = vocabulary(path)
     first = 0
     while first < len(texts):
         last, size = first, 0
@@ -217,9 +263,10 @@ def encode_texts(texts: list[str], path: str) -> Iterator[bytes]:
         starts = piece_starts(joined, stops)
         ends = np.searchsorted(starts, stops).tolist()
         starts, begin = starts.tolist(), 0
+        pieces = [joined[a:b] for a, b in zip(starts, starts[1:])] + ["\n"]
+        ids = known.remember(pieces)
         for end in ends:
-            cuts = starts[begin : end + 1]
-            yield b"".join([pieces[joined[a:b]] for a, b in zip(cuts, cuts[1:])])
+            yield b"".join(map(ids.__getitem__, pieces[begin:end]))
             begin = end + 1
         first = last
 
@@ -229,7 +276,7 @@ def encode(text: Column | str, path: str) -> Column:
 
     @F.arrow_udf("struct<ids: binary, ends: binary>")
     def packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lengths = _vocabulary(path)[2]
+        lengths = vocabulary(path).lengths
         for batch in batches:
             ids = list(encode_texts(batch.to_pylist(), path))
             ends = [np.cumsum(lengths[np.frombuffer(i, "<u4")], dtype="<u4").tobytes() for i in ids]
@@ -242,15 +289,15 @@ def decode(tokens: Column | str, path: str) -> Column:
     """The bytes that packed tokens (as ``encode`` returns them) stand for; null tokens give null."""
 
     @F.arrow_udf("binary")
-    def unpacked(batches: Iterator[pa.Array], ) -> Iterator[pa.Array]:
-        vocabulary = _vocabulary(path)[1]
+    def unpacked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokens_of = vocabulary(path).tokens
         for batch in batches:
             texts = []
             for row in batch.to_pylist():
                 if row is None:
                     texts.append(None)
                     continue
-                text = b"".join(map(vocabulary.__getitem__, np.frombuffer(row["ids"], "<u4").tolist()))
+                text = b"".join(map(tokens_of.__getitem__, np.frombuffer(row["ids"], "<u4").tolist()))
                 ends = np.frombuffer(row["ends"], "<u4")
                 if len(text) != (int(ends[-1]) if len(ends) else 0):
                     raise ValueError("ids and ends of a row disagree")
