@@ -27,6 +27,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakemason.llm.batches import small
+
 # Classes of a position.
 END, LETTER, NUMBER, OTHER, SHORT, LONG, SPACE_RUN, LAST_BLANK, LAST_SPACE = range(9)
 # States: what the piece so far is. FRESH: complete. TAIL1, TAIL2: one or two letters of a contraction to come.
@@ -277,7 +279,7 @@ def encode(text: Column | str, path: str) -> Column:
     @F.arrow_udf("struct<ids: binary, ends: binary>")
     def packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lengths = vocabulary(path).lengths
-        for batch in batches:
+        for batch in small(batches):
             ids = list(encode_texts(batch.to_pylist(), path))
             ends = [np.cumsum(lengths[np.frombuffer(i, "<u4")], dtype="<u4").tobytes() for i in ids]
             yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(ends, pa.binary())], names=["ids", "ends"])
@@ -291,7 +293,7 @@ def decode(tokens: Column | str, path: str) -> Column:
     @F.arrow_udf("binary")
     def unpacked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens_of = vocabulary(path).tokens
-        for batch in batches:
+        for batch in small(batches):
             texts = []
             for row in batch.to_pylist():
                 if row is None:

@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakemason.llm.batches import small
 from lakemason.llm.labelled import training_rows
 
 BITS = 18
@@ -114,7 +115,7 @@ def score(text: Column | str, weights: np.ndarray) -> Column:
 
     @F.arrow_udf("double")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in small(batches):
             sums = [float(weights[s] @ v) for s, v in map(features, batch.to_pylist())]
             yield pa.array(1 / (1 + np.exp(-np.clip(np.array(sums), -30, 30))), pa.float64())
 

@@ -28,7 +28,7 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 OP1_SQL = r"""
 WITH docs AS (SELECT doc_id, source, COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
-units AS (SELECT doc_id, source, size, count(*) AS n, size * count(*) AS unit, md5(COALESCE(doc_id::VARCHAR, 'null')) AS digest FROM docs GROUP BY ALL),
+units AS (SELECT doc_id, source, size, count(*) AS n, size * count(*) AS unit, md5(COALESCE(doc_id::VARCHAR, 'null')) AS digest FROM docs GROUP BY doc_id, source, size),
 sizes AS (SELECT source, sum(unit)::BIGINT AS source_size FROM units GROUP BY source),
 listed AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS place, source_size * 2 AS cap FROM sizes),
 weighed AS (SELECT *, [3.0, 1.0, 2.0][(place - 1) % 3 + 1]::DOUBLE AS weight FROM listed),

@@ -28,6 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
+from lakemason.llm.batches import small
+
 # The patterns, the least size of what they find, and the order of kinds.
 _ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -198,7 +200,7 @@ def secrets(text: Column | str, redact: bool = False) -> Column:
 
     @F.arrow_udf(RESULT)
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for t in batch.to_pylist():
                 base, spans = find(t)

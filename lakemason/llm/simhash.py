@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakemason.llm.batches import small
 from lakemason.llm.components import components
 from lakemason.session import cut
 
@@ -56,7 +57,7 @@ def fingerprint(text: Column | str, shingle: int = 3, seed: int = 42) -> Column:
 
     @F.arrow_udf("bigint")
     def fingerprints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in small(batches):
             values = np.array([fingerprint_of(t, shingle, seed) for t in batch.to_pylist()], np.uint64)
             yield pa.array(values.view(np.int64), pa.int64())
 

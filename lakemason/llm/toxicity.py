@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakemason.llm.batches import small
 from lakemason.llm.labelled import training_rows
 
 # The words the grammar knows without labels.
@@ -194,7 +195,7 @@ def learn_lexicon(rows: DataFrame, least: int = 5, least_odds: float = 30.0) ->
 def _match_udf(grammar_: Grammar) -> Column:
     @F.arrow_udf("array<double>")
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in small(batches):
             yield pa.array([grammar_.matches(t).tolist() for t in batch.to_pylist()], pa.list_(pa.float64()))
 
     return found
@@ -227,7 +228,7 @@ def score(text: Column | str, grammar_: Grammar) -> Column:
 
     @F.arrow_udf("double")
     def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in small(batches):
             found = np.array([grammar_.matches(t) for t in batch.to_pylist()]).reshape(-1, len(KINDS))
             yield pa.array(grammar_.score(found), pa.float64())
 
