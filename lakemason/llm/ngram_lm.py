@@ -38,8 +38,8 @@ from lakemason.session import scratch
 
 #: The end token; no word hashes the empty string.
 END = xxhash.xxh64_intdigest(b"")
-#: Tokens counted together in a task, and tokens that one shard of pairs gets on average.
-CHUNK, PER_SHARD = 2_000_000, 2_000_000
+#: Tokens counted and tokens scored together in a task, and tokens that one shard of pairs gets on average.
+CHUNK, SCORED, PER_SHARD = 1_000_000, 200_000, 2_000_000
 #: Words per file of word statistics.
 PER_RANGE = 1 << 18
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -48,7 +48,7 @@ _hashes: dict[bytes, int] = {}
 
 
 def _new(word: bytes) -> int:
-    if len(_hashes) > 400_000:
+    if len(_hashes) > 250_000:
         _hashes.clear()
     h = _hashes[word] = xxhash.xxh64_intdigest(word)
     return h
@@ -60,7 +60,7 @@ def tokens(text: bytes) -> list[int]:
     return [known.get(w) or _new(w) for w in text.lower().split()] + [END]
 
 
-def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _chunks(batches: Iterable[pa.RecordBatch], most: int = CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Token hashes of many texts one behind another, and the number of tokens of each text."""
     flat, lengths, size = [], [], 0
     for batch in batches:
@@ -69,7 +69,7 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
             flat.append(found)
             lengths.append(len(found))
             size += len(found)
-            if size >= CHUNK:
+            if size >= most:
                 yield np.concatenate(flat), np.array(lengths)
                 flat, lengths, size = [], [], 0
     if flat:
@@ -197,9 +197,10 @@ class Model:
     low_discounts: np.ndarray
     pair_types: int
     low_left: float
+    per_shard: int = PER_SHARD
 
     def shard_of(self, history: np.ndarray, count: np.ndarray, word: np.ndarray) -> np.ndarray:
-        return shard_of(history, count, word, self.shards)
+        return shard_of(history, count, word, self.shards, self.per_shard)
 
     def stats(self, ids: np.ndarray) -> np.ndarray:
         """Rows ``(occurrences as history, with 1, 2, more words, histories before it)`` by word id."""
@@ -246,9 +247,9 @@ class Model:
         return np.where(total > 0, (high + left * low) / np.maximum(total, 1), low), counts
 
 
-def shard_of(history: np.ndarray, count: np.ndarray, word: np.ndarray, shards: int) -> np.ndarray:
+def shard_of(history: np.ndarray, count: np.ndarray, word: np.ndarray, shards: int, per_shard: int) -> np.ndarray:
     """Shard of a pair: by its history; a history with many tokens has several shards, chosen by the word."""
-    split = np.maximum(1, -(-count * 4 // PER_SHARD)).astype(np.uint64)
+    split = np.maximum(1, -(-count * 4 // per_shard)).astype(np.uint64)
     part = (word.astype(np.uint64) * MIX >> np.uint64(33)) % split
     mixed = (history.astype(np.uint64) + np.uint64(1)) * MIX + part * np.uint64(0xC2B2AE3D27D4EB4F)
     return ((mixed ^ mixed >> np.uint64(32)) * MIX >> np.uint64(40)).astype(np.int64) % shards
@@ -261,7 +262,7 @@ def discounts(of_counts: np.ndarray) -> np.ndarray:
     return np.array([0.0, *(min(max(k - (k + 1) * y * more / less, 0.05), k - 0.05) for k, less, more in ((1, n1, n2), (2, n2, n3), (3, n3, n4)))])
 
 
-def _texts(docs: DataFrame, text: str = "text") -> Column:
+def text_column(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
 
 
@@ -282,13 +283,13 @@ def _train_words(texts: DataFrame, folder: str, bits: int) -> Words:
     return Words(bits, [stored[s].path if s in stored else "" for s in each], [stored[s].n if s in stored else 0 for s in each], sum(r.total for r in stored.values()))
 
 
-def train(texts: DataFrame, word_bits: int = 6) -> Model:
-    """A model of the column ``text`` (binary). What the driver gets is a row a file; files hold about PER_SHARD
+def train(texts: DataFrame, word_bits: int = 6, per_shard: int = PER_SHARD) -> Model:
+    """A model of the column ``text`` (binary). What the driver gets is a row a file; files hold about ``per_shard``
     tokens each, so their number follows the input."""
     spark: SparkSession = texts.sparkSession
     folder = scratch(spark, "ngram")
     words = _train_words(texts, f"{folder}/words", word_bits)
-    shards = max(16, -(-words.total // PER_SHARD))
+    shards = max(16, -(-words.total // per_shard))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for flat, lengths in _chunks(batches):
@@ -299,7 +300,7 @@ def train(texts: DataFrame, word_bits: int = 6) -> Model:
             history[firsts], many[firsts] = end_id, end_count
             keys = history.astype(np.uint64) << np.uint64(32) | ids.astype(np.uint64)
             keys, at, n = np.unique(keys, return_index=True, return_counts=True)
-            yield _packed(shard_of(history[at], many[at], ids[at], shards), keys, n)
+            yield _packed(shard_of(history[at], many[at], ids[at], shards, per_shard), keys, n)
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, keys, counts in _by_shard(batches):
@@ -345,7 +346,7 @@ def train(texts: DataFrame, word_bits: int = 6) -> Model:
     high, low = discounts(np.sum([r.of_counts for r in stored], axis=0) if stored else np.zeros(4)), discounts(low_counts[:4])
     types = sum(r.n for r in stored)
     left = (low[1] * low_counts[0] + low[2] * low_counts[1] + low[3] * low_counts[2:].sum()) / types if types else 1.0
-    return Model(words, shards, {r.shard: (r.path, r.n) for r in stored}, {r.shard: (r.path, r.n) for r in dense}, high, low, types, float(left))
+    return Model(words, shards, {r.shard: (r.path, r.n) for r in stored}, {r.shard: (r.path, r.n) for r in dense}, high, low, types, float(left), per_shard)
 
 
 RESULT = "struct<n_tokens: bigint, n_known: bigint, base_score: double, score: double>"
@@ -361,7 +362,7 @@ def score(text: Column | str, model: Model) -> Column:
         scale = m.words.total + 0.1 * (m.words.distinct + 1)
         for batch in batches:
             parts = [np.zeros((0, 4))]
-            for flat, lengths in _chunks([pa.RecordBatch.from_arrays([batch], ["text"])]):
+            for flat, lengths in _chunks([pa.RecordBatch.from_arrays([batch], ["text"])], SCORED):
                 firsts = np.cumsum(lengths) - lengths
                 p, counts = m.probabilities(flat, firsts)
                 columns = (np.ones(len(flat)), counts > 0, np.log10((counts + 0.1) / scale), np.log10(p))

@@ -66,7 +66,7 @@ def op2_multi_index(spark: SparkSession, folder: str) -> DataFrame:
 def op3_ngram_lm(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
-    model = ngram_lm.train(docs.filter(~out).select(ngram_lm._texts(docs)))
+    model = ngram_lm.train(docs.filter(~out).select(ngram_lm.text_column()))
     scored = docs.select("doc_id", out.alias("held_out"), ngram_lm.score("text", model).alias("s"))
     return scored.select("doc_id", "held_out", "s.n_tokens", "s.n_known", F.lit(model.words.total).cast("bigint").alias("train_tokens"), "s.base_score", "s.score")
 

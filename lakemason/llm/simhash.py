@@ -213,7 +213,7 @@ def _probes(fps: np.ndarray, groups: list[list[int]], shells: dict[tuple[int, in
                 yield k, (values[k][mine][:, None] ^ ball[None, :]).ravel(), 1, np.repeat(fps[mine], len(ball))
 
 
-def _file_and_probe(groups, shells, n: int, radius: int):
+def _file_and_probe(groups, shells, n: int, radius: int, block: int):
     """Rows of ``_probes`` with the block in which they meet: filed and probing fingerprints of a crowded value
     are dealt over rows and columns of a grid of blocks."""
 
@@ -231,7 +231,7 @@ def _file_and_probe(groups, shells, n: int, radius: int):
                     if role:  # who probes a value is at most all within the radius of it; those filed near it are a fair guess
                         keep = share > 0
                         values, fps, share = values[keep], fps[keep], share[keep]
-                    grid = np.maximum(1, np.ceil(share / BLOCK)).astype(np.int64)
+                    grid = np.maximum(1, np.ceil(share / block)).astype(np.int64)
                     mine = ((fps * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)) % grid
                     repeat = np.repeat(np.arange(len(values)), grid)
                     other = np.arange(len(repeat)) - np.repeat(np.cumsum(grid) - grid, grid)
@@ -324,7 +324,7 @@ def _verify(radius: int):
     return verified
 
 
-def link(prints: DataFrame, radius: int = 3, partitions: int | None = None) -> DataFrame:
+def link(prints: DataFrame, radius: int = 3, partitions: int | None = None, block: int = BLOCK) -> DataFrame:
     """Links ``a, b`` between distinct fingerprints (column ``fp``): enough of them to connect all that differ
     in at most ``radius`` bits. Partitions default to the fewest whose values are not crowded at this number
     of fingerprints (4 of 16 bits below 2 ** 22, 3 below 2 ** 34, else 2)."""
@@ -332,7 +332,7 @@ def link(prints: DataFrame, radius: int = 3, partitions: int | None = None) -> D
     partitions = partitions or (4 if n < 1 << 22 else 3 if n < 1 << 34 else 2)
     groups = group_bits(prints, n, partitions)
     shells = {at: _shells(c, radius) for at, c in count_values(prints, groups).items()}
-    rows = prints.select("fp").mapInArrow(_file_and_probe(groups, shells, n, radius), "part int, value bigint, block bigint, role int, fp bigint")
+    rows = prints.select("fp").mapInArrow(_file_and_probe(groups, shells, n, radius, block), "part int, value bigint, block bigint, role int, fp bigint")
     met = rows.repartition("part", "value", "block").sortWithinPartitions("part", "value", "block", "role", "fp")
     return met.mapInArrow(_verify(radius), "a bigint, b bigint")
 
