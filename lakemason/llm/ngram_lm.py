@@ -41,7 +41,7 @@ END = xxhash.xxh64_intdigest(b"")
 #: Tokens counted and tokens scored together in a task, and tokens that one shard of pairs gets on average.
 CHUNK, SCORED, PER_SHARD = 1_000_000, 200_000, 2_000_000
 #: Words per file of word statistics.
-PER_RANGE = 1 << 18
+PER_RANGE = 1 << 16
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 _hashes: dict[bytes, int] = {}
@@ -283,12 +283,13 @@ def _train_words(texts: DataFrame, folder: str, bits: int) -> Words:
     return Words(bits, [stored[s].path if s in stored else "" for s in each], [stored[s].n if s in stored else 0 for s in each], sum(r.total for r in stored.values()))
 
 
-def train(texts: DataFrame, word_bits: int = 6, per_shard: int = PER_SHARD) -> Model:
+def train(texts: DataFrame, per_shard: int = PER_SHARD) -> Model:
     """A model of the column ``text`` (binary). What the driver gets is a row a file; files hold about ``per_shard``
     tokens each, so their number follows the input."""
     spark: SparkSession = texts.sparkSession
     folder = scratch(spark, "ngram")
-    words = _train_words(texts, f"{folder}/words", word_bits)
+    bits = max(6, (texts.count() // 2048).bit_length())  # about as many files of words as thousands of texts
+    words = _train_words(texts, f"{folder}/words", bits)
     shards = max(16, -(-words.total // per_shard))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

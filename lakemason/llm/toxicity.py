@@ -160,34 +160,36 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn_lexicon(rows: DataFrame, least: int = 5, least_odds: float = 30.0) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and stems that stand in ``least`` or more different contexts of toxic texts and whose odds
-    there are ``least_odds`` times those in clean texts. The rows are a bounded sample, and so is the lexicon."""
-    toxic, clean = rows.filter("label = 1"), rows.filter("label = 0")
-    pairs = toxic.select("text").mapInArrow(_contexts, "word string, before string").distinct()
+    """Words and stems that stand in ``least`` or more different contexts of toxic texts, in three of these texts or
+    more, and whose share of them is ``least_odds`` times that of clean texts. The rows are a bounded sample, and so
+    is the lexicon."""
+    pairs = rows.filter("label = 1").select("text").mapInArrow(_contexts, "word string, before string").distinct()
     whole = pairs.select(F.concat("word", F.lit("$")).alias("feature"))
     stems = [pairs.filter(F.length("word") >= n).select(F.substring("word", 1, n).alias("feature")) for n in STEM_LENGTHS]
     counted = functools.reduce(DataFrame.unionAll, stems, whole).groupBy("feature").count().filter(F.col("count") >= least)
-    hits = {r[0]: r[1] for r in counted.collect()}
-    if not hits:
+    candidates = {r[0] for r in counted.collect()}
+    if not candidates:
         return {}, {}
 
-    def in_clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, texts = Counter(), 0
+    def texts_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: tuple[Counter, Counter] = Counter(), Counter()
         known: dict[str, set[str]] = {}
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                texts += 1
+            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
+                found = {"\n"}
                 for word in set(_TOKENS.findall(text.lower())):
                     if word not in known:
-                        known[word] = _features(word) & hits.keys()
-                    counts.update(known[word])
-        counts["\n"] = texts
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts)), pa.array(list(counts.values()), pa.int64())], ["feature", "n"])
-
-    against = clean.select("text").mapInArrow(in_clean, "feature string, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
-    misses = {r[0]: r[1] for r in against.collect()}
-    n_toxic, n_clean = toxic.count(), misses.pop("\n", 0)
-    odds = {f: (t / (n_toxic + 1)) / ((misses.get(f, 0) + 0.5) / (n_clean + 1)) for f, t in hits.items()}
+                        known[word] = _features(word) & candidates
+                    found |= known[word]
+                counts[label > 0].update(found)
+        both = sorted(counts[0].keys() | counts[1].keys())
+        columns = [pa.array(both, pa.string()), *(pa.array([c[f] for f in both], pa.int64()) for c in counts)]
+        yield pa.RecordBatch.from_arrays(columns, ["feature", "clean", "toxic"])
+
+    summed = rows.select("text", "label").mapInArrow(texts_with, "feature string, clean bigint, toxic bigint")
+    n = {r.feature: (r.clean, r.toxic) for r in summed.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).collect()}
+    n_clean, n_toxic = n.pop("\n")
+    odds = {f: t / (n_toxic + 1) / ((c + 0.5) / (n_clean + 1)) for f, (c, t) in n.items() if t >= 3}
     kept = {f: min(1.0, math.log(x) / 6) for f, x in odds.items() if x >= least_odds}
     return {f[:-1]: w for f, w in kept.items() if f[-1] == "$"}, {f: w for f, w in kept.items() if f[-1] != "$"}
 
