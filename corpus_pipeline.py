@@ -48,13 +48,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its packed token ids, their number, and the text that they decode to."""
-    path = vocabulary_path()
-    encoded = docs.withColumn("__tokens", byte_bpe.encode("text", path))
-    decoded = encoded.withColumn("__decoded", byte_bpe.decode("__tokens", path))
+    both = docs.withColumn("__tokens", byte_bpe.encode_decode("text", vocabulary_path()))
     ids = F.col("__tokens.ids")
-    return decoded.select(
+    return both.select(
         *[F.col(f"`{c}`") for c in docs.columns], (F.length(ids) / 4).cast("bigint").alias("n_tokens"), ids.alias("ids"),
-        F.sha2("__decoded", 256).alias("decoded_sha256"))
+        F.sha2("__tokens.decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

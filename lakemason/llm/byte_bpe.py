@@ -40,7 +40,7 @@ WHITE_SPACE = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)
 ONE_LETTER, TWO_LETTERS = "stmd", ("re", "ve", "ll")
 
 #: Characters that are scanned together, and pieces that a worker remembers.
-CHUNK, REMEMBERED = 1 << 20, 400_000
+CHUNK, REMEMBERED = 1 << 18, 150_000
 #: Pieces merged side by side, bytes above which a piece is merged by a heap instead, and the rank of no pair.
 TOGETHER, LONGEST, NONE = 2048, 100, (1 << 31) - 1
 
@@ -287,6 +287,14 @@ def encode(text: Column | str, path: str) -> Column:
     return packed(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
 
 
+def _text_of(ids: bytes, ends: bytes, tokens_of: list[bytes]) -> bytes:
+    text = b"".join(map(tokens_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    stops = np.frombuffer(ends, "<u4")
+    if len(text) != (int(stops[-1]) if len(stops) else 0):
+        raise ValueError("ids and ends of a row disagree")
+    return text
+
+
 def decode(tokens: Column | str, path: str) -> Column:
     """The bytes that packed tokens (as ``encode`` returns them) stand for; null tokens give null."""
 
@@ -294,21 +302,26 @@ def decode(tokens: Column | str, path: str) -> Column:
     def unpacked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens_of = vocabulary(path).tokens
         for batch in small(batches):
-            texts = []
-            for row in batch.to_pylist():
-                if row is None:
-                    texts.append(None)
-                    continue
-                text = b"".join(map(tokens_of.__getitem__, np.frombuffer(row["ids"], "<u4").tolist()))
-                ends = np.frombuffer(row["ends"], "<u4")
-                if len(text) != (int(ends[-1]) if len(ends) else 0):
-                    raise ValueError("ids and ends of a row disagree")
-                texts.append(text)
-            yield pa.array(texts, pa.binary())
+            yield pa.array([r and _text_of(r["ids"], r["ends"], tokens_of) for r in batch.to_pylist()], pa.binary())
 
     return unpacked(F.col(tokens) if isinstance(tokens, str) else tokens)
 
 
+def encode_decode(text: Column | str, path: str) -> Column:
+    """``struct<ids, ends, decoded>``: encoding, and what decoding the ids gives, in one pass of one worker."""
+
+    @F.arrow_udf("struct<ids: binary, ends: binary, decoded: binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = vocabulary(path)
+        for batch in small(batches):
+            ids = list(encode_texts(batch.to_pylist(), path))
+            ends = [np.cumsum(known.lengths[np.frombuffer(i, "<u4")], dtype="<u4").tobytes() for i in ids]
+            texts = [_text_of(i, e, known.tokens) for i, e in zip(ids, ends)]
+            yield pa.StructArray.from_arrays([pa.array(c, pa.binary()) for c in (ids, ends, texts)], names=["ids", "ends", "decoded"])
+
+    return both(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
+
+
 def encode_documents(docs: DataFrame, path: str, text: str = "text", out: str = "tokens") -> DataFrame:
     """All columns of ``docs`` and the packed tokens of its text as column ``out`` (replaced if it is there)."""
     return docs.withColumn(out, encode(text, path))

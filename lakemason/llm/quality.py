@@ -43,7 +43,7 @@ def _hash_word(word: bytes) -> int:
         marks.group()[:4] if marks else b"",
     )
     code = xxhash.xxh32_intdigest(word) << 32 | xxhash.xxh32_intdigest(b"\0".join(shape))
-    if len(_words) > 300_000:
+    if len(_words) > 150_000:
         _words.clear()
     _words[word] = code
     return code

@@ -112,11 +112,9 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    path = vocabulary_path()
-    encoded = byte_bpe.encode_documents(read(spark, folder, "documents").select("doc_id", "text"), path)
-    decoded = encoded.withColumn("decoded", byte_bpe.decode("tokens", path))
-    n = (F.length("tokens.ids") / 4).cast("bigint")
-    return decoded.select("doc_id", n.alias("n_tokens"), F.sha2("tokens.ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    both = read(spark, folder, "documents").select("doc_id", byte_bpe.encode_decode("text", vocabulary_path()).alias("t"))
+    n = (F.length("t.ids") / 4).cast("bigint")
+    return both.select("doc_id", n.alias("n_tokens"), F.sha2("t.ids", 256).alias("ids_sha256"), F.sha2("t.decoded", 256).alias("decoded_sha256"))
 
 
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -117,7 +117,7 @@ class Grammar:
         if known is None:
             stem = next((s for n in STEM_LENGTHS if (s := self.stems.get(word[:n]))), None)
             known = (INSULT, stem) if stem else (OTHER, 0.0)
-        if len(self.symbols) > 300_000:
+        if len(self.symbols) > 100_000:
             self.symbols.clear()
         self.symbols[word] = known
         return known
@@ -150,7 +150,7 @@ def _features(word: str) -> set[str]:
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct (word, word before it) of toxic texts: copies of one text count once."""
-    for batch in batches:
+    for batch in small(batches):
         seen = set()
         for text in batch.column("text").to_pylist():
             words = [w for w in _TOKENS.findall(text.lower()) if w.isalpha()]
@@ -174,11 +174,13 @@ def learn_lexicon(rows: DataFrame, least: int = 5, least_odds: float = 30.0) ->
     def texts_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = Counter(), Counter()
         known: dict[str, set[str]] = {}
-        for batch in batches:
+        for batch in small(batches):
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
                 found = {"\n"}
                 for word in set(_TOKENS.findall(text.lower())):
                     if word not in known:
+                        if len(known) > 50_000:
+                            known.clear()
                         known[word] = _features(word) & candidates
                     found |= known[word]
                 counts[label > 0].update(found)
