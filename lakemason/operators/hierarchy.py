@@ -84,8 +84,8 @@ def closure(nodes: DataFrame, node: str, parent: str, *, is_tree: bool = False)
     return found
 
 
-def safe_tree(nodes: DataFrame, node: str, parent: str, label: str, *, max_depth: int | None = 10, roots: Column | None = None) -> DataFrame:
-    """Top-down walk that never revisits an id of its own path and stops at ``max_depth``."""
+def safe_tree(nodes: DataFrame, node: str, parent: str, label: str, *, max_depth: int | None = None, roots: Column | None = None) -> DataFrame:
+    """Top-down walk that never revisits an id of its own path, which alone ends it. ``max_depth`` cuts it short."""
     edges = nodes.select(F.col(node).alias("__n"), F.col(parent).alias("__p"), F.col(label).alias("__l"))
     start = nodes.filter(F.col(parent).isNull() if roots is None else roots).select(
         F.col(node), F.col(label), F.col(parent), F.lit(1).alias("depth"), F.array(node).alias("visited_ids")

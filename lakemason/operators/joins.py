@@ -119,7 +119,8 @@ def as_of(
     """Attach the version valid at ``at``: ``valid_from <= at < valid_to``.
 
     Rows and versions share one timeline per key and the latest version is carried forward, so a
-    hot key costs a sort, not rows x versions pairs. Versions of a key must not overlap.
+    hot key costs a sort, not rows x versions pairs. Versions of a key must not overlap. As in SQL, a
+    NULL time or key has no version.
     """
     carried_names = [c for c in versions.columns if c not in keys]
     version_row = F.struct(*[F.col(c) for c in carried_names])
@@ -136,9 +137,10 @@ def as_of(
         )
     )
     carried = running(timeline, keys, ["__t", "__side"], {"__hit": ("last", F.col("__version"))}, **options)
-    hit = F.col("__hit")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.col("__t").isNotNull())
     if valid_to:
-        hit = F.when(F.col("__t") < F.col(f"__hit.{valid_to}"), F.col("__hit"))
+        known = known & (F.col("__t") < F.col(f"__hit.{valid_to}"))
+    hit = F.when(known, F.col("__hit"))
     result = carried.filter((F.col("__side") == 1)).withColumn("__hit", hit)
     if inner:
         result = result.filter(F.col("__hit").isNotNull())
@@ -150,7 +152,11 @@ def as_of(
 def play_role(df: DataFrame, dim: DataFrame, dim_key: str, role_key: str, columns: dict[str, str]) -> DataFrame:
     """Join a shared dimension under one role: ``columns`` maps dimension column to output name.
 
-    A NULL role key is looked up as the unknown member -1.
+    A NULL role key, and one the dimension does not have, is looked up as the unknown member -1.
     """
     view = dim.select(F.col(dim_key).alias("__role"), *[F.col(c).alias(out) for c, out in columns.items()])
-    return df.join(view, F.coalesce(F.col(role_key), F.lit(-1)) == F.col("__role")).drop("__role")
+    unknown = view.filter("__role = -1").agg(*[F.first(out).alias(f"__u_{out}") for out in columns.values()])
+    joined = attach(df.join(view, F.col(role_key) == F.col("__role"), "left"), unknown)
+    missing = F.col("__role").isNull()
+    filled = [F.when(missing, F.col(f"__u_{out}")).otherwise(F.col(out)).alias(out) for out in columns.values()]
+    return joined.select(*df.columns, *filled)

@@ -42,7 +42,8 @@ def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
 
     A dominant key fills one bucket; bucket unique or evenly used keys only.
     """
-    writer = df.write.format("parquet").mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    dealt = df.repartition(buckets, *keys)  # the table's own hash: one file a bucket
+    writer = dealt.write.format("parquet").mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 

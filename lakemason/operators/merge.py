@@ -43,11 +43,11 @@ class _Action:
 
 
 def unique_source(source: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Same rows, but the query fails as soon as a key occurs twice."""
+    """Same rows, but the query fails as soon as a key occurs twice. The check is a filter, so no reader can leave it out."""
     rest = [c for c in source.columns if c not in on]
     message = F.concat(F.lit("duplicate key in source: "), F.to_json(F.struct(*on)))
     grouped = source.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(F.lit(1).alias("__one"), *rest)).alias("__row"))
-    checked = grouped.withColumn("__row", F.when(F.col("__n") == 1, F.col("__row")).otherwise(F.raise_error(message)))
+    checked = grouped.filter(F.when(F.col("__n") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
     return checked.select(*on, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*source.columns)
 
 

@@ -94,6 +94,8 @@ def running(
         window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
         return df.withColumns({out: _RUNNING[fn](col).over(window) for out, (fn, col) in measures.items()})
 
+    plain = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
+    types = df.withColumns({out: _RUNNING[fn](col).over(plain) for out, (fn, col) in measures.items()}).schema
     group = [_SLICE, *keys]
     window = Window.partitionBy(*group).orderBy(*order)
     local = _sliced(df, keys, order_by, slices).withColumns(
@@ -123,7 +125,9 @@ def running(
             combined[out] = F.coalesce(here, past)
         else:
             combined[out] = (F.greatest if fn == "max" else F.least)(here, past)
-    return joined.withColumns(combined).select(*df.columns, *measures)
+    # Slices are added in a wider type; the result has the type of the plain window.
+    typed = {out: column.cast(types[out].dataType) for out, column in combined.items()}
+    return joined.withColumns(typed).select(*df.columns, *measures)
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], out: str = "rn", **options) -> DataFrame:
@@ -189,10 +193,11 @@ def value_ranks(
     slices: int | None = None,
     bounded: bool = False,
 ) -> DataFrame:
-    """rank, dense_rank, percent_rank and cume_dist: ``ranks`` maps output name to function name."""
+    """rank, dense_rank (bigint), percent_rank and cume_dist (double): ``ranks`` maps output name to function name."""
     if not must_split(df, keys, max_group_rows, bounded):
         window = Window.partitionBy(*keys).orderBy(*order_columns(order_by))
-        return df.withColumns({out: getattr(F, fn)().over(window) for out, fn in ranks.items()})
+        kinds = {"rank": "bigint", "dense_rank": "bigint"}
+        return df.withColumns({out: getattr(F, fn)().over(window).cast(kinds.get(fn, "double")) for out, fn in ranks.items()})
     names = order_names(order_by)
     per_value = df.groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("__n"))
     upto = running(

@@ -9,9 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from lakemason.functions.columns import after_row, order_columns
 from lakemason.operators.ordered import number_rows
 
-#: Rows a page may skip before it is found by row number instead of by one sorted head.
-HEAD_ROWS = 100_000
-
 
 def sort_by(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """Global sort with NULLs last on ascending and first on descending keys."""
@@ -23,10 +20,10 @@ def top_k(df: DataFrame, order_by: Sequence[str], k: int) -> DataFrame:
     return sort_by(df, order_by).limit(k)
 
 
-def page_by_offset(df: DataFrame, order_by: Sequence[str], page: int, size: int) -> DataFrame:
-    """Page ``page`` (from 0). A deep page is selected by exact row number over range slices, so
-    the skipped rows never meet in one task."""
-    if (page + 1) * size <= HEAD_ROWS:
+def page_by_offset(df: DataFrame, order_by: Sequence[str], page: int, size: int, deep: bool = False) -> DataFrame:
+    """Page ``page`` (from 0). With ``deep`` it is selected by exact row number over range slices, so
+    the skipped rows never meet in one task; else from one sorted head, which is lazy and cheaper for early pages."""
+    if not deep:
         return sort_by(df, order_by).offset(page * size).limit(size)
     numbered = number_rows(df, [], order_by, "__rn")
     wanted = F.col("__rn").between(page * size + 1, (page + 1) * size)

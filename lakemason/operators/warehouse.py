@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakemason.functions.columns import all_equal, date_key, days_between
-from lakemason.operators.ordered import attach, nth_rows, number_rows, running
+from lakemason.operators.ordered import _join_keys, attach, nth_rows, number_rows, running
 from lakemason.sources.tables import days
 
 # The unknown member of the date dimension, in column order.
@@ -79,7 +79,9 @@ def assign_keys(naturals: DataFrame, natural: Sequence[str], key: str, existing:
         return number_rows(fresh, [], list(natural), key, slices=slices)
     known = existing.filter(F.col(key) > 0).select(*natural, F.col(key).cast("bigint").alias(key))
     top = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("__top"))
-    numbered = number_rows(fresh.join(known, list(natural), "left_anti"), [], list(natural), "__rn", slices=slices)
+    same = all_equal(None, natural, "f", "k")
+    unseen = fresh.alias("f").join(known.alias("k"), same, "left_anti")
+    numbered = number_rows(unseen, [], list(natural), "__rn", slices=slices)
     keyed = attach(numbered, top)
     return known.unionByName(keyed.select(*natural, (F.col("__top") + F.col("__rn")).cast("bigint").alias(key)))
 
@@ -136,7 +138,7 @@ def allocate(
     allocate 0.
     """
     subtotal = lines.groupBy(*header).agg(F.sum(weight).cast("decimal(24,4)").alias("__sum"))
-    joined = lines.join(subtotal, list(header))
+    joined = _join_keys(lines, subtotal, list(header))
     # Twenty digits of share times the amount fit one decimal, so only the result is rounded.
     share = (F.col(weight).cast("decimal(24,10)") / F.nullif(F.col("__sum"), F.lit(0).cast("decimal(24,4)"))).cast("decimal(23,20)")
     zero = F.lit(0).cast("decimal(14,2)")

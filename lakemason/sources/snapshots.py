@@ -82,6 +82,9 @@ class SnapshotTable:
         rows.write.partitionBy(_PART).parquet(data)
         written = [s.getPath().getName() for s in self._fs.listStatus(self._child(f"v={target}/data"))]
         fresh = {name.split("=", 1)[1]: target for name in written if name.startswith(f"{_PART}=")}
+        if parts is not None and (stray := fresh.keys() - set(parts)):
+            self._fs.delete(folder, True)  # committing would replace rows that were never read
+            raise ValueError(f"rows moved to partitions the batch does not touch: {sorted(stray)}")
         kept = {p: v for p, v in self._manifest(current).items() if parts is not None and p not in parts}
         manifest = self.spark.createDataFrame(list((kept | fresh).items()), "part string, version int")
         manifest.coalesce(1).write.json(f"{self.path}/v={target}/manifest")

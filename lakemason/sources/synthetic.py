@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 def uniform(seed: int, name: str, row_id: Column | str = "id") -> Column:
     """Hash-based number in [0, 1)."""
     row = F.col(row_id) if isinstance(row_id, str) else row_id
-    return F.pmod(F.xxhash64(F.lit(seed), F.lit(name), row), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(name), row), 11) / F.lit(2.0**53)
 
 
 def weighted(seed: int, name: str, choices: Sequence[tuple[str, int]], row_id: Column | str = "id") -> Column:

@@ -307,3 +307,64 @@ def test_sketched_profiles_are_close(spark):
     bounds = {r["bound"]: r["value"] for r in Q.histogram(df, "v", 4, slices=3).collect()}
     assert bounds == {0: 0, 1: 1249, 2: 2499, 3: 3749, 4: 4999}
     assert all(abs(r["value"] - bounds[r["bound"]]) <= 5 for r in Q.histogram_approx(df, "v", 4).collect())
+
+
+def test_repeated_source_key_fails_whatever_is_read(spark):
+    from lakemason.operators.merge import unique_source
+
+    source = unique_source(spark.createDataFrame([(1, 2), (1, 3)], "k int, v int"), ["k"])
+    for read in (source.collect, source.count, source.select("k").collect):
+        with pytest.raises(Exception, match="duplicate key"):
+            read()
+
+
+def test_long_chain_comes_back_whole(spark):
+    chain = spark.createDataFrame([(i, i - 1 if i else None, str(i)) for i in range(30)], "id int, parent_id int, name string")
+    assert H.safe_tree(chain, "id", "parent_id", "name").count() == 30
+
+
+def test_draws_do_not_repeat(spark):
+    from lakemason.sources.synthetic import uniform
+
+    drawn = spark.range(200_000).select(uniform(1, "x").alias("x"))
+    assert drawn.distinct().count() == 200_000 and drawn.filter("x < 0 OR x >= 1").count() == 0
+
+
+def test_nulls_in_as_of_roles_keys_and_headers(spark):
+    from lakemason.operators.joins import as_of, play_role
+    from lakemason.operators.warehouse import allocate, assign_keys
+
+    rows = spark.createDataFrame([("a", 5), ("a", None), (None, 5)], "k string, t int")
+    versions = spark.createDataFrame([("a", 1, "v"), (None, 1, "w")], "k string, since int, name string")
+    assert {(r.k, r.t): r.name for r in as_of(rows, versions, ["k"], "t", "since").collect()} == {("a", 5): "v", ("a", None): None, (None, 5): None}
+    dim = spark.createDataFrame([(-1, "unknown"), (1, "one")], "key int, name string")
+    roles = play_role(spark.createDataFrame([(1,), (None,), (9,)], "k int"), dim, "key", "k", {"name": "role"})
+    assert sorted(r.role for r in roles.collect()) == ["one", "unknown", "unknown"]
+    names = spark.createDataFrame([("a",), (None,)], "n string")
+    keyed = assign_keys(names, ["n"], "id")
+    assert sorted(map(tuple, assign_keys(names, ["n"], "id", keyed).collect()), key=str) == sorted(map(tuple, keyed.collect()), key=str)
+    lines = spark.createDataFrame([(None, 1.0, 10.0), (1, 1.0, 10.0)], "h int, w double, amount double")
+    assert allocate(lines, ["h"], "w", {"amount": "part"}).count() == 2
+
+
+def test_moved_rows_are_refused(spark, tmp_path):
+    from lakemason.sources.snapshots import SnapshotTable
+
+    table = SnapshotTable(spark, str(tmp_path / "t"), spark.createDataFrame([], "d string, k int").schema, "d")
+    make = lambda *rows: spark.createDataFrame(list(rows), "d string, k int")
+    table.publish(make(("d1", 1), ("d2", 3)))
+    with pytest.raises(ValueError, match="moved"):
+        table.apply_once("b", make(("d1", 1)), lambda now, batch: make(("d2", 9)))
+    assert sorted(map(tuple, table.read().collect())) == [("d1", 1), ("d2", 3)]
+
+
+@pytest.mark.parametrize("kind", ["int", "decimal(18,2)", "double"])
+def test_split_windows_have_the_types_of_plain_ones(spark, kind):
+    from lakemason.operators.ordered import running, value_ranks
+
+    df = spark.range(50).selectExpr("id % 2 AS k", "id", f"CAST(id AS {kind}) AS v")
+    sums = [running(df, ["k"], ["id"], {"s": ("sum", F.col("v"))}, max_group_rows=n) for n in (1, 100)]
+    ranks = [value_ranks(df, ["k"], ["v"], {"r": "rank", "d": "dense_rank", "p": "percent_rank"}, max_group_rows=n) for n in (1, 100)]
+    for split, plain in (sums, ranks):
+        assert [(f.name, f.dataType) for f in split.schema] == [(f.name, f.dataType) for f in plain.schema]
+        assert sorted(map(tuple, split.collect())) == sorted(map(tuple, plain.collect()))
