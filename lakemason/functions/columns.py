@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from json import dumps
 
 from pyspark.sql import Column, functions as F
 
@@ -108,3 +109,16 @@ def days_between(later: Column, earlier: Column) -> Column:
     """Elapsed days with two digits, NULL when either end is missing."""
     seconds = F.timestamp_diff("SECOND", earlier, later)
     return F.round(seconds.cast("decimal(18,0)") / F.lit(86400), 2)
+
+
+def json_field(json: str | Column, key: str, type_name: str = "string") -> Column:
+    """A top-level field of a JSON text as ``type_name``; NULL if the text is no JSON, the field is missing or does not convert."""
+    value = F.col(json) if isinstance(json, str) else json
+    return F.try_variant_get(F.try_parse_json(value), f"$['{key}']", type_name)
+
+
+def json_contains(json: str | Column, fields: dict[str, str | int | bool]) -> Column:
+    """Whether a JSON object holds all these fields with these values; 5 and "5" differ. NULL or broken JSON: false."""
+    tests = [F.to_json(json_field(json, k, "variant")) == F.lit(dumps(v, ensure_ascii=False)) for k, v in fields.items()]
+    tests = [F.coalesce(t, F.lit(False)) for t in tests]
+    return reduce(Column.__and__, tests, F.lit(True))

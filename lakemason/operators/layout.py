@@ -12,11 +12,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lakemason.functions.columns import order_columns, order_names
 
 
+def _spread(df: DataFrame, ranges: list[Column], files: int | None) -> DataFrame:
+    """Range partitions; a hash of the row behind the keys lets one frequent value span several of them."""
+    hashed = [F.col(f"`{f.name}`") for f in df.schema if not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))]
+    rest = [F.xxhash64(*hashed)] if hashed else []
+    return df.repartitionByRange(files, *ranges, *rest) if files else df.repartitionByRange(*ranges, *rest)
+
+
 def write_sorted(df: DataFrame, path: str, order_by: Sequence[str], files: int | None = None) -> None:
-    """Range-clustered files sorted inside: row groups outside a range are skipped by min/max."""
+    """Range-clustered files sorted inside: row groups outside a range are skipped by min/max.
+
+    A frequent value spreads over several files; only rows equal in every column stay together.
+    """
     ranges = order_columns(order_by)
-    clustered = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
-    clustered.sortWithinPartitions(*ranges).write.parquet(path)
+    _spread(df, ranges, files).sortWithinPartitions(*ranges).write.parquet(path)
 
 
 def write_composite(df: DataFrame, path: str, equality: Sequence[str], order_by: Sequence[str], files: int | None = None) -> None:
@@ -25,8 +34,7 @@ def write_composite(df: DataFrame, path: str, equality: Sequence[str], order_by:
     Ranging on both spreads one dominant equality value over many tasks and files.
     """
     ranges = [F.col(c).asc() for c in equality] + order_columns(order_by)
-    clustered = df.repartitionByRange(files, *ranges) if files else df.repartitionByRange(*ranges)
-    clustered.sortWithinPartitions(*ranges).write.partitionBy(*equality).parquet(path)
+    _spread(df, ranges, files).sortWithinPartitions(*ranges).write.partitionBy(*equality).parquet(path)
 
 
 def write_covering(df: DataFrame, path: str, columns: Sequence[str], order_by: Sequence[str]) -> None:

@@ -17,20 +17,23 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
-def orphans(checks: dict[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """Foreign-key check: ``name -> (child, fk, parent, pk)``; orphan rows and PASS/FAIL per check.
+def orphans(child: DataFrame, checks: dict[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """Foreign-key checks ``name -> (fk, parent, pk)`` of one table; orphan rows and PASS/FAIL per check.
 
-    Child keys are counted first, so the anti join sees each key once however often it repeats.
+    The child is read once for all checks. Its keys and those of the parents are counted together map-side, so one
+    shuffle carries each key at most once a task. A key and what it refers to must have the same type.
     """
-    def one(name: str, child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-        used = child.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("__fk")).agg(F.count(F.lit(1)).alias("n"))
-        lost = used.join(parent.select(F.col(pk).alias("__pk")), F.col("__fk") == F.col("__pk"), "left_anti")
-        total = F.coalesce(F.sum("n"), F.lit(0))
-        return lost.agg(total.alias("orphans")).select(
-            F.lit(name).alias("check_name"), "orphans", F.when(F.col("orphans") == 0, "PASS").otherwise("FAIL").alias("status")
-        )
-
-    return reduce(DataFrame.unionAll, [one(n, *c) for n, c in checks.items()])
+    cells = F.array(*[F.struct(F.lit(n).alias("name"), F.col(fk).cast("string").alias("key")) for n, (fk, _, _) in checks.items()])
+    used = child.select(F.explode(cells).alias("cell")).select("cell.*", F.lit(1).alias("row"))
+    known = [parent.select(F.lit(n).alias("name"), F.col(pk).cast("string").alias("key"), F.lit(0).alias("row"))
+             for n, (_, parent, pk) in checks.items()]
+    keys = reduce(DataFrame.unionAll, known, used).filter("key IS NOT NULL").groupBy("name", "key").agg(
+        F.sum("row").alias("n"), F.min("row").alias("lost"))
+    lost = keys.filter("lost = 1").agg(*[F.coalesce(F.sum(F.when(F.col("name") == n, F.col("n"))), F.lit(0)).alias(n) for n in checks])
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"`{n}`").alias("orphans")) for n in checks]))
+    return lost.select(pairs.alias("p")).select(
+        "p.*", F.when(F.col("p.orphans") == 0, "PASS").otherwise("FAIL").alias("status")
+    )
 
 
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -364,13 +364,18 @@ def _(t: Tables):
 
 
 # ---------------------------------------------------------------- common table expressions
-@query("cte_steps", "int: o_custkey; text: c_name favourite; float: lifetime_spend avg_order; int: orders_count", f"""
+_PIPELINE_COLUMNS = "int: o_custkey; text: c_name favourite; float: lifetime_spend avg_order; int: orders_count"
+_PIPELINE = f"""
     WITH spend AS (SELECT o_custkey, COUNT(*) AS n, SUM({m('o_totalprice')}) AS total FROM orders
         WHERE o_orderstatus IN ('F','O') GROUP BY o_custkey),
       ranked AS (SELECT *, NTILE(10) OVER (ORDER BY total DESC, o_custkey) AS decile FROM spend),
       fav AS ({_FAV})
     SELECT ranked.o_custkey, c_name, favourite, total AS lifetime_spend, {r('total / n')} AS avg_order, n AS orders_count
-    FROM ranked JOIN customer ON c_custkey = ranked.o_custkey JOIN fav ON fav.o_custkey = ranked.o_custkey WHERE decile = 1""")
+    FROM ranked JOIN customer ON c_custkey = ranked.o_custkey JOIN fav ON fav.o_custkey = ranked.o_custkey WHERE decile = 1"""
+
+
+@query("cte_pipeline", _PIPELINE_COLUMNS, _PIPELINE)
+@query("cte_steps", _PIPELINE_COLUMNS, _PIPELINE)
 def _(t: Tables):
     """Top spending decile with favourite priority: named steps are DataFrame variables."""
     from lakemason.operators.ordered import buckets

@@ -39,13 +39,13 @@ _FILLED = "(SELECT * FROM orders WHERE o_orderstatus = 'F')"
     _orphan_sql("lineitem.supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
     _orphan_sql("lineitem.filled_orders", "lineitem", "l_orderkey", _FILLED, "o_orderkey")]))
 def _(t: Tables):
-    return Q.orphans({
-        "orders.customer": (t.orders, "o_custkey", t.customer, "c_custkey"),
-        "lineitem.orders": (t.lineitem, "l_orderkey", t.orders, "o_orderkey"),
-        "lineitem.part": (t.lineitem, "l_partkey", t.part, "p_partkey"),
-        "lineitem.supplier": (t.lineitem, "l_suppkey", t.supplier, "s_suppkey"),
-        "lineitem.filled_orders": (t.lineitem, "l_orderkey", t.orders.filter("o_orderstatus = 'F'"), "o_orderkey"),
-    })
+    orders = Q.orphans(t.orders, {"orders.customer": ("o_custkey", t.customer, "c_custkey")})
+    return orders.unionAll(Q.orphans(t.lineitem, {
+        "lineitem.orders": ("l_orderkey", t.orders, "o_orderkey"),
+        "lineitem.part": ("l_partkey", t.part, "p_partkey"),
+        "lineitem.supplier": ("l_suppkey", t.supplier, "s_suppkey"),
+        "lineitem.filled_orders": ("l_orderkey", t.orders.filter("o_orderstatus = 'F'"), "o_orderkey"),
+    }))
 
 
 @query("dq_unique", "int: l_orderkey l_linenumber copies", """

@@ -8,7 +8,8 @@ from pyspark.sql import Window, functions as F
 
 from lakemason.operators import aggregates as A, hierarchy as H, joins as J, merge as M, quality as Q, scd as D, setops as S, warehouse as W
 from lakemason.operators.ordered import with_totals
-from lakemason.functions.columns import ratio
+from lakemason.operators.layout import write_sorted
+from lakemason.functions.columns import json_contains, json_field, ratio
 
 T = dt.datetime(2026, 9, 1, 8, 0)
 OLD = dt.datetime(2026, 8, 31, 8, 0)
@@ -368,3 +369,28 @@ def test_split_windows_have_the_types_of_plain_ones(spark, kind):
     for split, plain in (sums, ranks):
         assert [(f.name, f.dataType) for f in split.schema] == [(f.name, f.dataType) for f in plain.schema]
         assert sorted(map(tuple, split.collect())) == sorted(map(tuple, plain.collect()))
+
+
+# ---------------------------------------------------------------- JSON, key checks, layouts
+def test_json_fields(spark):
+    told = spark.createDataFrame(
+        [(1, '{"k": 5}'), (2, '{"k": "5", "on": true}'), (3, "{broken"), (4, None), (5, ""), (6, "[1]"), (7, '{"k": null}')], "id int, p string")
+    assert rows(told.select("id", json_field("p", "k", "int").alias("k"))) == [(1, 5), (2, 5), (3, None), (4, None), (5, None), (6, None), (7, None)]
+    assert rows(told.filter(json_contains("p", {"k": 5})), "id") == [(1,)]
+    assert rows(told.filter(json_contains("p", {"k": "5", "on": True})), "id") == [(2,)]
+    assert told.filter(json_contains("p", {})).count() == 7
+
+
+def test_orphans_of_one_table(spark):
+    child = spark.createDataFrame([(1, 1), (1, 9), (7, None), (7, 2)], "a int, b int")
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id int")
+    found = Q.orphans(child, {"t.a": ("a", parent, "id"), "t.b": ("b", parent, "id"), "t.c": ("b", parent.filter("id = 9"), "id")})
+    assert rows(found) == [("t.a", 2, "FAIL"), ("t.b", 1, "FAIL"), ("t.c", 3, "FAIL")]
+    assert rows(Q.orphans(child.limit(0), {"t.a": ("a", parent, "id")})) == [("t.a", 0, "PASS")]
+
+
+def test_frequent_value_spreads_over_files(spark, tmp_path):
+    skewed = spark.range(20_000).select(F.lit(1).alias("k"), "id")
+    write_sorted(skewed, str(tmp_path / "sorted"), ["k"], files=8)
+    back = spark.read.parquet(str(tmp_path / "sorted"))
+    assert back.select(F.input_file_name()).distinct().count() >= 6 and back.exceptAll(skewed).count() == 0 and back.count() == 20_000
