@@ -5,8 +5,8 @@ small, and a lost cause when one key holds a third of the table or when there is
 Every function here first asks how large the largest group is (one aggregated number) and then
 either uses the plain window or splits groups:
 
-* ``running``  - range slices over (keys, order), a local window per slice, and per-slice totals
-  carried forward. A slice never holds more than its share of the rows, whatever the key skew.
+* ``running``  - range slices over (keys, order), per-slice totals carried forward as the first row
+  of each slice, and one window per slice: one shuffle of the rows after the range step. A slice never holds more than its share of the rows, whatever the key skew.
 * ``framed``   - frames of a fixed number of rows, on blocks of consecutive row numbers; each block
   also receives the few rows around its edges that its frames can reach.
 * ``value_ranks`` - ranks depend on values only, so rows are first counted per value.
@@ -27,7 +27,7 @@ MAX_GROUP_ROWS = 4_000_000
 #: Rows per block in ``framed``.
 BLOCK_ROWS = 1_000_000
 
-_SLICE, _BLOCK, _OWN, _LAST, _POS = "__slice", "__block", "__own", "__is_last", "__pos"
+_SLICE, _PLACE, _BLOCK, _OWN, _POS = "__slice", "__place", "__block", "__own", "__pos"
 _RUNNING = {
     "sum": F.sum,
     "count": F.count,
@@ -64,11 +64,11 @@ def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 
 
 def _sliced(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], slices: int | None) -> DataFrame:
-    """Rows with the number of their range slice. Without a fixed count, adaptive execution merges
-    neighbouring slices of small inputs; ``spark.sql.shuffle.partitions`` is the upper bound."""
+    """Rows with the number of their range slice and their place in it. Without a fixed count, adaptive execution
+    merges neighbouring slices of small inputs; ``spark.sql.shuffle.partitions`` is the upper bound."""
     ranges = [F.col(k).asc() for k in keys] + order_columns(order_by)
     ranged = df.repartitionByRange(slices, *ranges) if slices else df.repartitionByRange(*ranges)
-    return cut(ranged.withColumn(_SLICE, F.spark_partition_id()))
+    return cut(ranged.sortWithinPartitions(*ranges).withColumns({_SLICE: F.spark_partition_id(), _PLACE: F.monotonically_increasing_id()}))
 
 
 def running(
@@ -97,37 +97,24 @@ def running(
     plain = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
     types = df.withColumns({out: _RUNNING[fn](col).over(plain) for out, (fn, col) in measures.items()}).schema
     group = [_SLICE, *keys]
-    window = Window.partitionBy(*group).orderBy(*order)
-    local = _sliced(df, keys, order_by, slices).withColumns(
-        {out: _RUNNING[fn](col).over(window.rowsBetween(*frame)) for out, (fn, col) in measures.items()}
-        | {_LAST: F.lead(F.lit(1)).over(window).isNull()}
-    )
-    whole = {out: out for out in measures}  # column whose value on the last row is the slice total
-    if not inclusive:
-        upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        whole = {out: f"__i_{out}" for out in measures}
-        local = local.withColumns({whole[out]: _RUNNING[fn](col).over(upto) for out, (fn, col) in measures.items()})
-    # One row per (slice, key): at most `slices` rows per key, so this window is bounded.
+    values = {f"__v_{out}": col.isNotNull().cast("bigint") if fn == "count" else col for out, (fn, col) in measures.items()}
+    kinds = {f"__v_{out}": "sum" if fn == "count" else fn for out, (fn, _) in measures.items()}
+    rows = _sliced(df.withColumns(values), keys, order_by, slices)
+    # One row per (slice, key): at most `slices` rows per key, so the window over them is bounded.
+    totals = {v: F.max_by(v, F.when(F.col(v).isNotNull(), F.col(_PLACE))) if fn == "last" else _RUNNING[fn](F.col(v)) for v, fn in kinds.items()}
+    totals = rows.groupBy(*group).agg(*[total.alias(v) for v, total in totals.items()])
     before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    merge = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min, "last": _RUNNING["last"]}
-    carried = local.filter(_LAST).select(
-        *group, *[merge[fn](F.col(whole[out])).over(before).alias(f"__c_{out}") for out, (fn, _) in measures.items()]
-    )
-    joined = _join_keys(local, carried, group)
-    combined = {}
+    carried = totals.select(*group, F.lit(-1).cast("bigint").alias(_PLACE), *[_RUNNING[fn](F.col(v)).over(before).alias(v) for v, fn in kinds.items()])
+    # What earlier slices add up to enters each slice as its first row, so nothing is joined, and no sum
+    # is an addition of two decimals, which would round their digits.
+    window = Window.partitionBy(*group).orderBy(_PLACE).rowsBetween(*frame)
+    results = {}
     for out, (fn, _) in measures.items():
-        here, past = F.col(out), F.col(f"__c_{out}")
-        if fn == "sum":
-            combined[out] = F.coalesce(here + past, here, past)
-        elif fn == "count":
-            combined[out] = here + F.coalesce(past, F.lit(0))
-        elif fn == "last":
-            combined[out] = F.coalesce(here, past)
-        else:
-            combined[out] = (F.greatest if fn == "max" else F.least)(here, past)
-    # Slices are added in a wider type; the result has the type of the plain window.
-    typed = {out: column.cast(types[out].dataType) for out, column in combined.items()}
-    return joined.withColumns(typed).select(*df.columns, *measures)
+        result = _RUNNING[kinds[f"__v_{out}"]](F.col(f"__v_{out}")).over(window)
+        results[out] = (F.coalesce(result, F.lit(0)) if fn == "count" else result).cast(types[out].dataType)
+    whole = rows.unionByName(carried, allowMissingColumns=True).withColumns({f"__r_{out}": result for out, result in results.items()})
+    kept = [F.col(f"`{column}`") for column in df.columns if column not in measures]
+    return whole.filter(F.col(_PLACE) >= 0).select(*kept, *[F.col(f"__r_{out}").alias(out) for out in measures])
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], out: str = "rn", **options) -> DataFrame:

@@ -98,3 +98,26 @@ def test_nth_rows_limits_before_the_shuffle(rows):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2
     assert df.count() == rows.groupBy("k").count().filter("count >= 2").count()
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "double", "decimal(18,2)", "decimal(38,10)"])
+def test_split_and_plain_have_one_schema(spark, kind):
+    df = spark.range(6).select("id", (F.lit(0.0000000001).cast("decimal(38,10)") if kind == "decimal(38,10)" else F.lit(1)).cast(kind).alias("v"))
+    measures = {"s": ("sum", F.col("v")), "c": ("count", F.col("v")), "hi": ("max", F.col("v")), "l": ("last", F.col("v"))}
+    for inclusive in (True, False):
+        plain = O.running(df, [], ["id"], measures, bounded=True, inclusive=inclusive)
+        split = O.running(df, [], ["id"], measures, slices=3, inclusive=inclusive)
+        assert split.dtypes == plain.dtypes
+        assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_split_path_shuffles_rows_once_after_the_range_step(rows):
+    plan = O.running(rows, ["k"], ["v", "id"], {"s": ("sum", F.col("v"))}, **SPLIT)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert plan.count("Exchange hashpartitioning(") <= 3  # totals, their window, the rows
+
+
+def test_last_value_skips_nulls_across_slices(spark):
+    df = spark.range(40).select("id", F.when(F.col("id").isin(3, 17), F.col("id")).alias("v"))
+    got = {r["id"]: r["l"] for r in O.running(df, [], ["-id"], {"l": ("last", F.col("v"))}, slices=6).collect()}
+    assert got == {i: 3 if i <= 3 else 17 if i <= 17 else None for i in range(40)}
