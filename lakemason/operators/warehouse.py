@@ -186,13 +186,20 @@ def accumulating(orders: DataFrame, milestones: DataFrame, key: str, ordered_at:
     )
 
 
-def periodic_snapshot(daily: DataFrame, entity: str, day: str, value: str, last_day: str, out: str = "balance", **options) -> DataFrame:
-    """One row per entity and calendar day up to ``last_day``, carrying the last known value forward.
+def periodic_snapshot(
+    daily: DataFrame, entity: str, day: str, value: str, last_day: str | None = None, out: str = "balance", **options
+) -> DataFrame:
+    """One row per entity and calendar day up to ``last_day`` (default: the last day there is), carrying the last
+    known value forward.
 
     Days before an entity's first value have no row. ``daily`` has at most one row per entity and day.
     """
-    spans = daily.groupBy(entity).agg(F.min(day).alias("__first")).filter(F.col("__first") <= F.lit(last_day).cast("date"))
-    grid = spans.select(entity, F.explode(F.sequence("__first", F.lit(last_day).cast("date"))).alias(day))
+    spans = daily.groupBy(entity).agg(F.min(day).alias("__first"))
+    if last_day is None:
+        spans = attach(spans, daily.agg(F.max(day).alias("__last")))
+    else:
+        spans = spans.withColumn("__last", F.lit(last_day).cast("date")).filter("__first <= __last")
+    grid = spans.select(entity, F.explode(F.sequence("__first", "__last")).alias(day))
     filled = grid.join(daily, [entity, day], "left")
     return running(filled, [entity], [day], {out: ("last", F.col(value))}, **options).select(entity, day, out)
 

@@ -167,16 +167,15 @@ def _(t: Tables):
 
 
 _VERSIONS = """WITH ch AS (SELECT o_custkey, o_orderpriority AS tier, o_orderdate AS chg, o_orderkey FROM (SELECT *,
-      ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) AS rn FROM orders WHERE o_orderstatus = 'F')
-      WHERE rn = 1),
+      ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) AS rn FROM orders) WHERE rn = 1),
     kept AS (SELECT * FROM (SELECT *, LAG(tier) OVER (PARTITION BY o_custkey ORDER BY chg) AS p FROM ch) WHERE p IS NULL OR p <> tier),
     v AS (SELECT o_custkey, tier, chg AS valid_from, COALESCE(LEAD(chg) OVER (PARTITION BY o_custkey ORDER BY chg),
       TIMESTAMP '9999-12-31 23:59:59') AS valid_to FROM kept)"""
 
 
 def versions(t: Tables):
-    """Customer tier history: the priority of each filled order is a change event."""
-    log = t.orders.filter("o_orderstatus = 'F'").select(
+    """Customer tier history: the priority of each order is a change event."""
+    log = t.orders.select(
         "o_custkey", c("o_orderpriority").alias("tier"), c("o_orderdate").alias("at"), "o_orderkey")
     return history(log, "o_custkey", ["tier"], "at", ["o_orderkey"])
 

@@ -6,8 +6,8 @@ created last. The current state is the highest committed version; a job that die
 folder that no reader looks at.
 
 With ``partition_by`` only the partitions a batch touches are read and rewritten; the manifest
-keeps pointing at the older files of the others. Choose a column that batches are local in (a
-date), or a hash bucket of the key.
+keeps pointing at the older files of the others. It is an SQL expression over the merge key: a column
+that batches are local in (a date), or a hash bucket as in ``pmod(xxhash64(id), 64)``.
 """
 
 from __future__ import annotations
@@ -63,7 +63,7 @@ class SnapshotTable:
         return self.spark.read.schema("batch_id string").parquet(f"{self.path}/v={at}/batches")
 
     def _label(self, df: DataFrame) -> DataFrame:
-        label = F.coalesce(F.col(self.partition_by).cast("string"), F.lit("null")) if self.partition_by else F.lit("all")
+        label = F.coalesce(F.expr(self.partition_by).cast("string"), F.lit("null")) if self.partition_by else F.lit("all")
         return df.withColumn(_PART, F.regexp_replace(label, "[^A-Za-z0-9_.-]", "_"))
 
     def _labels(self, df: DataFrame) -> list[str]:

@@ -64,6 +64,13 @@ def run_batches(
     return writer.start()
 
 
+def append_files(stream: DataFrame, path: str, checkpoint: str, *, continuous_every: str | None = None) -> StreamingQuery:
+    """Add the rows of a stream to a folder of Parquet files, each once: nothing stored is read or rewritten."""
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=continuous_every) if continuous_every else writer.trigger(availableNow=True)
+    return writer.start(path)
+
+
 def upsert_latest(table: SnapshotTable, keys: Sequence[str], order_by: Sequence[str], update: Sequence[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
     """Micro-batch change: newest row per key replaces the stored one."""
     return lambda current, batch: upsert_replace(
