@@ -261,22 +261,25 @@ _FACT_COLUMNS = ("int: l_orderkey line_id l_linenumber l_partkey l_suppkey order
 _REPRICED = f"CASE WHEN l_orderkey % 4 = 0 THEN {m('l_extendedprice')} + 1.25 ELSE {m('l_extendedprice')} END"
 
 
-@query("dw_fact_sales", _FACT_COLUMNS, f"{_DIM_SQL}, {_fact_sql(_REPRICED)} SELECT * FROM fact")
+@query("dw_fact_sales", _FACT_COLUMNS, f"""{_DIM_SQL}, {_fact_sql(_REPRICED)}
+    SELECT * REPLACE (CASE WHEN l_orderkey % 4 = 0 THEN 'repriced' ELSE order_status END AS order_status) FROM fact""")
 def _(t: Tables):
     """A first load, then a batch with corrected prices that updates its lines in place.
 
     A line is known by its order and its number there (line numbers of the source repeat), not by its measures.
-    An order has few lines, so they are numbered in a plain window on the key that the header is joined on.
+    An order has few lines, so they are numbered in a plain window on the key that the header is joined on. The numbers
+    are unique within the order, so the merge need not count its source again.
     """
     star, amounts = Star(t), ["allocated", "allocated_tax"]
     numbered = number_rows(t.lineitem, ["l_orderkey"], _LINE_ORDER.split(", "), "line_id", bounded=True)
     lines = cut(order_lines(t, numbered).select(
         *LINE_ID, "line_id", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "net", "quantity", "header_amount", "header_tax"))
-    first = cut(fact_sales(star, lines.withColumn("o_orderstatus", F.lit("new")), kept=["line_id"], allocated=amounts))
-    corrected = lines.withColumn("net", F.when(c("l_orderkey") % 4 == 0, c("net") + F.lit(Decimal("1.25"))).otherwise(c("net")).cast("decimal(18,2)"))
+    first = fact_sales(star, lines, kept=["line_id"], allocated=amounts)
+    corrected = lines.filter("l_orderkey % 4 = 0").withColumns({
+        "net": (c("net") + F.lit(Decimal("1.25"))).cast("decimal(18,2)"), "o_orderstatus": F.lit("repriced")})
     batch = fact_sales(star, corrected, kept=["line_id"], allocated=amounts)
     updated = ["order_status", "net_sales", "cost_amount", "margin", *amounts]
-    return upsert_replace(first, batch, ["l_orderkey", "line_id"], updated)
+    return upsert_replace(first, batch, ["l_orderkey", "line_id"], updated, check_source=False)
 
 
 @query("dw_fact_verify", "int: total_rows; float: units net_sales margin", f"""{_STAR_SQL}
