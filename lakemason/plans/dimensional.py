@@ -216,10 +216,11 @@ def _(t: Tables):
 
 
 class Star:
-    """The dimensions a load or report looks keys up in. Each is built and stored once, when first used."""
+    """The dimensions that a load or report looks keys up in, each built when first used. Those named in ``stored``
+    are written once: name the ones that are read more than once."""
 
-    def __init__(self, t: Tables):
-        self.t = t
+    def __init__(self, t: Tables, *stored: str):
+        self.t, self.stored = t, stored
 
     @cached_property
     def date(self) -> DataFrame:
@@ -227,27 +228,30 @@ class Star:
 
     @cached_property
     def customer(self) -> DataFrame:
-        return cut(dim_customer(self.t))
+        return cut(dim_customer(self.t)) if "customer" in self.stored else dim_customer(self.t)
 
     @cached_property
     def product(self) -> DataFrame:
-        return cut(dim_product(self.t))
+        return cut(dim_product(self.t)) if "product" in self.stored else dim_product(self.t)
 
 
-def fact_sales(star: Star, lines: DataFrame | None = None, *, kept: Sequence[str] = (), allocated: Sequence[str] = ()) -> DataFrame:
-    """Line-grain sales fact of ``order_lines``: key lookups, cost and margin, and the header amounts named in ``allocated``.
-
-    Reports leave the allocated amounts out, and with them a join on the header.
-    """
+def keyed_lines(star: Star, lines: DataFrame | None = None) -> DataFrame:
+    """Order lines with the surrogate keys of their dimensions and the unit cost of the product."""
     lines = order_lines(star.t) if lines is None else lines
-    shares = {amount: out for out, amount in (("allocated", "header_amount"), ("allocated_tax", "header_tax")) if out in allocated}
-    if shares:
-        lines = W.allocate(lines, ["l_orderkey"], "net", shares)
     source_key = F.when(c("o_custkey") % 10 == 3, -c("o_custkey")).otherwise(c("o_custkey"))
     lines = lines.withColumns({"source_key": source_key, "day_key": date_key("o_orderdate")})
     lines = W.lookup_key(lines, star.date.select("date_key"), [("day_key", "date_key")], "date_key", "order_date_fk")
     lines = W.lookup_key(lines, star.customer, [("source_key", "c_custkey")], "customer_sk", "customer_fk")
-    lines = W.lookup_key(lines, star.product, [("l_partkey", "p_partkey")], "product_sk", "product_fk", {"cost_price": "unit_cost"})
+    return W.lookup_key(lines, star.product, [("l_partkey", "p_partkey")], "product_sk", "product_fk", {"cost_price": "unit_cost"})
+
+
+def fact_sales(keyed: DataFrame, *, kept: Sequence[str] = (), allocated: Sequence[str] = ()) -> DataFrame:
+    """Line-grain sales fact of ``keyed_lines``: cost and margin, and the header amounts named in ``allocated``.
+
+    Reports leave the allocated amounts out, and with them a join on the header.
+    """
+    shares = {amount: out for out, amount in (("allocated", "header_amount"), ("allocated_tax", "header_tax")) if out in allocated}
+    lines = W.allocate(keyed, ["l_orderkey"], "net", shares) if shares else keyed
     cost = c("quantity") * F.coalesce("unit_cost", F.lit(0).cast("decimal(18,2)"))
     return lines.select(
         *LINE_ID, *kept, "order_date_fk", "customer_fk", "product_fk", c("o_orderkey").alias("order_number"),
@@ -270,14 +274,16 @@ def _(t: Tables):
     An order has few lines, so they are numbered in a plain window on the key that the header is joined on. The numbers
     are unique within the order, so the merge need not count its source again.
     """
-    star, amounts = Star(t), ["allocated", "allocated_tax"]
+    amounts = ["allocated", "allocated_tax"]
     numbered = number_rows(t.lineitem, ["l_orderkey"], _LINE_ORDER.split(", "), "line_id", bounded=True)
-    lines = cut(order_lines(t, numbered).select(
-        *LINE_ID, "line_id", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "net", "quantity", "header_amount", "header_tax"))
-    first = fact_sales(star, lines, kept=["line_id"], allocated=amounts)
+    keyed = keyed_lines(Star(t), order_lines(t, numbered)).select(
+        *LINE_ID, "line_id", "o_orderkey", "o_orderstatus", "net", "quantity", "header_amount", "header_tax",
+        "order_date_fk", "customer_fk", "product_fk", "unit_cost")
+    lines = cut(keyed)  # read by the first load and by the correction
+    first = fact_sales(lines, kept=["line_id"], allocated=amounts)
     corrected = lines.filter("l_orderkey % 4 = 0").withColumns({
         "net": (c("net") + F.lit(Decimal("1.25"))).cast("decimal(18,2)"), "o_orderstatus": F.lit("repriced")})
-    batch = fact_sales(star, corrected, kept=["line_id"], allocated=amounts)
+    batch = fact_sales(corrected, kept=["line_id"], allocated=amounts)
     updated = ["order_status", "net_sales", "cost_amount", "margin", *amounts]
     return upsert_replace(first, batch, ["l_orderkey", "line_id"], updated, check_source=False)
 
@@ -285,7 +291,7 @@ def _(t: Tables):
 @query("dw_fact_verify", "int: total_rows; float: units net_sales margin", f"""{_STAR_SQL}
     SELECT COUNT(*) AS total_rows, SUM(quantity) AS units, SUM(net_sales) AS net_sales, SUM(margin) AS margin FROM fact""")
 def _(t: Tables):
-    return fact_sales(Star(t)).agg(F.count(F.lit(1)).alias("total_rows"), F.sum("quantity").alias("units"),
+    return fact_sales(keyed_lines(Star(t))).agg(F.count(F.lit(1)).alias("total_rows"), F.sum("quantity").alias("units"),
                              F.sum("net_sales").alias("net_sales"), F.sum("margin").alias("margin"))
 
 
@@ -351,8 +357,8 @@ _MARGIN_SQL = r("SUM(margin) / NULLIF(SUM(net_sales), 0) * 100")
       SUM(margin) AS profit, {_MARGIN_SQL} AS margin_pct FROM fact JOIN dim_date ON order_date_fk = date_key
     JOIN dim_customer ON customer_fk = customer_sk GROUP BY 1, 2""")
 def _(t: Tables):
-    star = Star(t)
-    sales = fact_sales(star).join(star.date, c("order_date_fk") == c("date_key")).join(star.customer, c("customer_fk") == c("customer_sk"))
+    star = Star(t, "customer")
+    sales = fact_sales(keyed_lines(star)).join(star.date, c("order_date_fk") == c("date_key")).join(star.customer, c("customer_fk") == c("customer_sk"))
     return sales.groupBy("year_month", "country").agg(
         F.count_distinct("order_number").alias("total_orders"), F.sum("quantity").alias("units"), F.sum("net_sales").alias("revenue"),
         F.sum("margin").alias("profit"), ratio(F.sum("margin"), F.sum("net_sales"), 2, 100).alias("margin_pct"))
@@ -363,8 +369,8 @@ def _(t: Tables):
       {r('SUM(net_sales) / COUNT(*)')} AS average_line FROM fact JOIN dim_date ON order_date_fk = date_key
     JOIN dim_product ON product_fk = product_sk GROUP BY 1, 2, 3""")
 def _(t: Tables):
-    star = Star(t)
-    sales = fact_sales(star).join(star.date, c("order_date_fk") == c("date_key")).join(star.product, c("product_fk") == c("product_sk"))
+    star = Star(t, "product")
+    sales = fact_sales(keyed_lines(star)).join(star.date, c("order_date_fk") == c("date_key")).join(star.product, c("product_fk") == c("product_sk"))
     return sales.groupBy("fiscal_year", "fiscal_quarter", "category").agg(
         F.sum("quantity").alias("units"), F.sum("net_sales").alias("sales"), F.sum("margin").alias("profit"),
         ratio(F.sum("net_sales"), F.count(F.lit(1))).alias("average_line"))
@@ -377,8 +383,8 @@ def _(t: Tables):
     ORDER BY spend DESC, customer_sk LIMIT 15""")
 def _(t: Tables):
     """Aggregated by key first; only the top customers are joined to their attributes."""
-    star = Star(t)
-    spend = fact_sales(star).filter("customer_fk <> -1").groupBy("customer_fk").agg(
+    star = Star(t, "customer")
+    spend = fact_sales(keyed_lines(star)).filter("customer_fk <> -1").groupBy("customer_fk").agg(
         F.count_distinct("order_number").alias("orders_placed"), F.sum("quantity").alias("items"), F.sum("net_sales").alias("spend"),
         F.sum("margin").alias("profit"), ratio(F.sum("margin"), F.sum("net_sales"), 1, 100).alias("margin_pct"))
     best = top_k(spend, ["-spend", "customer_fk"], 15)
