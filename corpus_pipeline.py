@@ -25,12 +25,9 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest id. An id stands for one document:
-    of rows that repeat it one stays, and rows without an id share one."""
-    found = simhash.near_duplicates(docs)
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One document of each near-duplicate group: the first by id (nulls last), then by text digest. The group alone
+    decides: rows that share an id or have none stay if their texts are not near copies."""
+    return simhash.one_of_each(docs)
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

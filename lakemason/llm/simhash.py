@@ -337,13 +337,31 @@ def link(prints: DataFrame, radius: int = 3, partitions: int | None = None, bloc
     return met.mapInArrow(_verify(radius), "a bigint, b bigint")
 
 
+def _rooted(prints: DataFrame, radius: int) -> DataFrame:
+    """The rows of distinct fingerprints with the ``root`` of their component: its smallest fingerprint."""
+    roots = components(link(prints, radius), "a", "b")
+    return prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = 3, shingle: int = 3) -> DataFrame:
     """``doc_id, fp, component_id`` of every row: the smallest id reachable over links. A null id has its own
     fingerprint but is never the smallest, unless all ids of its component are null."""
     prints = cut(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(text, shingle).alias("fp")))
-    lowest = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(link(lowest, radius), "a", "b")
-    rooted = lowest.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = _rooted(cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))), radius)
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     ids = rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id")
     return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = 3, shingle: int = 3) -> DataFrame:
+    """Exactly one row of each component, whatever the ids: the first by id (nulls last), digest of the text and
+    digest of the whole row. Rows equal in all columns are one row; equal ids alone join nothing."""
+    key = F.col(f"`{doc_id}`")
+    digest = F.sha2(F.col(f"`{text}`"), 256)
+    rest = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]))
+    marked = docs.withColumn("__row", F.sha2(F.concat_ws("/", F.coalesce(digest, F.lit("")), rest), 256))
+    order = F.struct(key.isNull().alias("none"), key.alias("id"), digest.alias("digest"), F.col("__row").alias("row"))
+    prints = cut(marked.select(order.alias("first"), fingerprint(F.col(f"`{text}`"), shingle).alias("fp")))
+    rooted = _rooted(cut(prints.groupBy("fp").agg(F.min("first").alias("first"))), radius)
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("__row"))
+    return marked.dropDuplicates(["__row"]).join(kept, "__row", "left_semi").drop("__row")

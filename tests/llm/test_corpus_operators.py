@@ -326,3 +326,14 @@ def test_stages_take_odd_and_empty_tables(spark, sf_dir, make_docs):
         out = stage(spark, docs, sf_dir)
         assert out.columns[: len(docs.columns)] == docs.columns and out.count() > 0, name
         assert stage(spark, docs.limit(0), sf_dir).count() == 0, name
+
+
+def test_near_copies_are_dropped_by_component_not_by_id(spark, sf_dir, make_docs):
+    alone = [" ".join(f"{name}{i}" for i in range(40)) for name in ("ant", "bee", "cat", "dog", "elk", "fox")]
+    rows = [(None, alone[0]), (None, alone[1]), (7, alone[2]), (7, alone[3])]
+    rows += [(1, alone[4]), (2, alone[4]), (2, alone[5]), (None, alone[5]), (9, alone[0]), (9, alone[0])]
+    want = sorted([(9, alone[0]), (None, alone[1]), (7, alone[2]), (7, alone[3]), (1, alone[4]), (2, alone[5])], key=str)
+    for docs in (make_docs(rows), make_docs(rows[::-1]).repartition(5)):
+        out = corpus_pipeline.drop_near_copies(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == want
