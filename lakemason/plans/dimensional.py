@@ -21,7 +21,6 @@ from lakemason.plans.registry import Tables, m, query, r
 from lakemason.session import cut
 
 c = F.col
-FIRST_DAY, LAST_DAY = "1995-01-01", "2001-12-31"
 LINE_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 LINE_KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
@@ -81,7 +80,8 @@ _STAR_SQL = f"{_DIM_SQL}, {_fact_sql(m('l_extendedprice'))}"
 
 # ---------------------------------------------------------------- dimensions
 def calendar(t: Tables) -> DataFrame:
-    return W.dim_date(t.spark, FIRST_DAY, LAST_DAY)
+    """Every day from the first to the last date of orders and shipments."""
+    return W.dim_date(t.spark, *W.date_bounds((t.orders, "o_orderdate"), (t.lineitem, "l_shipdate")))
 
 
 def _keyed(dim: DataFrame, natural: str, key: str, member: dict[str, object]) -> DataFrame:
@@ -175,7 +175,10 @@ def _(t: Tables):
       quarter_name AS order_quarter, year_month AS order_year_month, is_weekend AS order_is_weekend, is_holiday AS order_is_holiday
     FROM orders JOIN dim_date ON date_key = CAST(strftime(o_orderdate, '%Y%m%d') AS INT)""")
 def _(t: Tables):
-    return t.orders.withColumn("order_date_key", date_key("o_orderdate")).join(W.role_view(calendar(t), "order"), "order_date_key")
+    """Every order; one without a date is shown with the unknown member."""
+    view = W.role_view(calendar(t), "order")
+    keyed = t.orders.withColumn("order_date_key", date_key("o_orderdate"))
+    return J.play_role(keyed, view, "order_date_key", "order_date_key", {name: name for name in view.columns if name != "order_date_key"})
 
 
 @query("dw_snowflake", "int: p_partkey category_fk; text: category", """
@@ -416,10 +419,11 @@ def _(t: Tables):
                      ["f_orderkey"], ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"])
     orders = t.orders.filter("o_orderstatus = 'F'")
     joined = orders.join(spans, c("l_orderkey") == c("o_orderkey")).drop("l_orderkey")
+    days = calendar(t)
     keyed = joined.withColumns({"order_key": date_key("o_orderdate"), "ship_key": date_key("shipped_at"), "deliver_key": date_key("delivered_at")})
     for key, columns in (("order_key", {"calendar_date": "ordered", "day_name": "order_day"}), ("ship_key", {"calendar_date": "shipped"}),
                          ("deliver_key", {"calendar_date": "delivered"})):
-        keyed = J.play_role(keyed, calendar(t), "date_key", key, columns)
+        keyed = J.play_role(keyed, days, "date_key", key, columns)
     lags = keyed.withColumns({"days_to_ship": F.datediff("shipped", "ordered"), "days_in_transit": F.datediff("delivered", "shipped"),
                               "total_days": F.datediff("delivered", "ordered")})
     top = top_k(lags, ["-total_days", "o_orderkey"], 15)

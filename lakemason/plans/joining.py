@@ -10,7 +10,7 @@ from lakemason.functions.columns import date_key, literal, money, ratio
 from lakemason.operators import joins as J
 from lakemason.operators.ordered import attach
 from lakemason.operators.scd import history
-from lakemason.operators.warehouse import dim_date
+from lakemason.operators.warehouse import date_bounds, dim_date
 from lakemason.plans.registry import Tables, m, query, r
 
 c = F.col
@@ -156,7 +156,7 @@ def _(t: Tables):
       isodow(o_orderdate) >= 6 AS ordered_weekend, date_diff('day', o_orderdate, shipped) AS days_to_ship
     FROM (SELECT *, CASE WHEN l_returnflag <> 'N' THEN l_shipdate END AS shipped FROM lineitem) JOIN orders ON l_orderkey = o_orderkey""")
 def _(t: Tables):
-    calendar = dim_date(t.spark, "1995-01-01", "2001-12-31")
+    calendar = dim_date(t.spark, *date_bounds((t.orders, "o_orderdate"), (t.lineitem, "l_shipdate")))
     shipped = F.when(c("l_returnflag") != "N", c("l_shipdate"))
     rows = t.lineitem.withColumn("shipped", shipped).join(t.orders, c("l_orderkey") == c("o_orderkey")).select(
         *LINE_ID, "shipped", date_key("o_orderdate").alias("order_key"), date_key("shipped").alias("ship_key"))
