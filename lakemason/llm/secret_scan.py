@@ -1,13 +1,15 @@
 """Secrets in texts, also inside nested encodings.
 
 A worklist starts with the text itself. Each layer is scanned by all patterns, then unwrapped in every way
-that applies: percent escapes and Unicode escapes are replaced in place, base64 runs are decoded, and
-decoded bytes that are gzip, zlib or bzip2 streams are expanded. What comes out and was not seen before
-joins the worklist, until nothing new comes out (a digest per layer stops cycles). Every layer carries, for
-each of its characters, where in the original text it comes from, so a find in any depth has a span there.
+that applies: percent escapes and Unicode escapes are replaced in place, base64 runs are decoded at all four
+alignments and also joined across line breaks, and gzip, zlib and bzip2 streams are expanded wherever they start.
+Decoded bytes stand as one character each (latin-1): the patterns are ASCII, so no byte hides a find and streams
+stay intact. What comes out and was not seen before at its place joins the worklist, until nothing new comes out
+(a digest per layer stops cycles). Every layer carries, for each of its characters, where in the original text it
+comes from, so a find in any depth has a span there.
 
 Spans are ``kind:start:end`` in code points of the original text, end exclusive, ordered by start, then
-kind, then end. A find in an inner layer spans the encoded characters it came from.
+kind, then end. A find in an inner layer spans the encoded runs it came from.
 
 A null or empty text has no finds. Texts are scanned one by one and whole; repeated rows give equal results
 and extra columns stay. A compressed stream that expands beyond ``MAX_EXPANDED`` bytes is not opened
@@ -17,7 +19,6 @@ in memory: its whole encoded run is reported as kind ``packed``.
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import re
@@ -40,7 +41,13 @@ LEAST_ASSIGNED, LEAST_ACCESS = 6, 20
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};)+")
 _ONE_UNICODE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+_RUN = r"[A-Za-z0-9+/_-]++"
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_BREAK = r"[ \t]*(?:\r\n?|\n|(?:\\r)?\\n)[ \t]*"
+_WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-]){_RUN}(?:{_BREAK}{_RUN})+={{0,2}}")
+_PIECE = re.compile(rf"({_RUN}={{0,2}})(?:{_BREAK})?")
+_PACKED = re.compile(r"\x1f\x8b\x08|BZh[1-9]|x[\x01\x5e\x9c\xda]")
+LEAST_BASE64 = 16
 
 #: Bytes that one compressed stream may expand to in memory.
 MAX_EXPANDED = 1 << 26
@@ -55,19 +62,15 @@ def scan(text: str) -> list[Span]:
     return found + [(2, m.start(), m.end()) for m in _HEX.finditer(text)]
 
 
-def _percent(run: str) -> str | None:
-    try:
-        return bytes.fromhex(run.replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
+def _percent(run: str) -> str:
+    return bytes.fromhex(run.replace("%", "")).decode("latin-1")
 
 
-def _escapes(run: str) -> str | None:
+def _escapes(run: str) -> str:
     points = [int(next(filter(None, m.groups()[:4]), "0"), 16) if m[5] is None else int(m[5]) for m in _ONE_UNICODE.finditer(run)]
-    try:  # surrogate pairs join, lone surrogates do not count as text
-        return "".join(chr(p) for p in points).encode("utf-16-le", "surrogatepass").decode("utf-16-le")
-    except (ValueError, OverflowError):
-        return None
+    # surrogate pairs join, lone surrogates and numbers beyond Unicode become U+FFFD
+    text = "".join(chr(p) if p < 0x110000 else "\ufffd" for p in points)
+    return text.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
 
 
 class _Layer:
@@ -100,59 +103,72 @@ class _Layer:
         return _Layer("".join([*parts, self.text[at:]]), np.concatenate(starts), np.concatenate(ends))
 
 
-def _expanded(data: bytes) -> bytes | None:
-    """What a compressed stream holds; None if it is none. Raises MemoryError if it is too large to open."""
-    if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 6 and (data[0] << 8 | data[1]) % 31 == 0:
-        opener = zlib.decompressobj(47)
-        limit = (MAX_EXPANDED + 1,)
-    elif data[:3] == b"BZh":
-        opener, limit = bz2.BZ2Decompressor(), (MAX_EXPANDED + 1,)
-    else:
-        return None
-    try:
-        out = opener.decompress(data, *limit)
-    except (zlib.error, OSError, EOFError):
-        return None
-    if len(out) > MAX_EXPANDED:
-        raise MemoryError
-    return out
-
-
-def _plain(data: bytes) -> str | None:
-    """Decoded bytes as text, compressed streams expanded on the way."""
-    seen = set()
-    while (inner := _expanded(data)) is not None:
-        digest = hashlib.blake2b(inner).digest()
-        if digest in seen:
-            return None
-        seen.add(digest)
-        data = inner
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and not re.search(r"[\x00-\x08\x0e-\x1f]", text) else None
-
-
-def _base64_bytes(run: str) -> bytes | None:
-    body = run.rstrip("=")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
-    except binascii.Error:
-        return None
+def _expanded(data: memoryview) -> tuple[bytes, int | None] | None:
+    """What the compressed stream at the start of ``data`` holds, with the members that follow it directly, and how
+    many bytes it takes (None if its end is missing). None if it is no stream. Raises MemoryError if it is too large to open."""
+    out, at = [], 0
+    left = MAX_EXPANDED
+    while True:
+        packed = bytes(data[at : at + 3])
+        opener = bz2.BZ2Decompressor() if packed == b"BZh" else zlib.decompressobj(47)
+        try:
+            inner = opener.decompress(data[at:], left + 1)
+        except (zlib.error, OSError, EOFError):
+            return (b"".join(out), at) if at else None
+        if len(inner) > left:
+            raise MemoryError
+        out.append(inner)
+        left -= len(inner)
+        if not opener.eof:
+            return b"".join(out), None
+        at = len(data) - len(opener.unused_data)
+        if bytes(data[at : at + 3]) not in (b"\x1f\x8b\x08", b"BZh"):
+            return b"".join(out), at
+
+
+def _streams(layer: _Layer) -> Iterator[tuple[bytes | None, int, int]]:
+    """Contents of the compressed streams of a layer (None if too large to open) and where they come from."""
+    m = _PACKED.search(layer.text)
+    data = memoryview(layer.text.encode("latin-1", "replace") if m else b"")
+    while m:
+        at = m.start() + 1
+        try:
+            found = _expanded(data[m.start() :])
+        except MemoryError:
+            yield None, *layer.origin(m.start(), len(data))
+        else:
+            if found is not None:
+                inner, size = found
+                yield inner, *layer.origin(m.start(), len(data) if size is None else m.start() + size)
+                at = at if size is None else m.start() + size
+        m = _PACKED.search(layer.text, at)
+
+
+def _decoded(layer: _Layer, start: int, end: int) -> Iterator[_Layer]:
+    """The base64 characters between two positions decoded at each alignment; a byte comes from the runs (lines)
+    that its characters stand in."""
+    pieces = [(m[1].rstrip("="), *layer.origin(*m.span(1))) for m in _PIECE.finditer(layer.text, start, end)]
+    body = "".join(p for p, _, _ in pieces).replace("-", "+").replace("_", "/")
+    if len(body) < LEAST_BASE64:
+        return
+    sizes = [len(p) for p, _, _ in pieces]
+    starts, ends = (np.repeat([p[k] for p in pieces], sizes) for k in (1, 2))
+    for skip in range(4):
+        run = body[skip : len(body) - ((len(body) - skip) % 4 == 1)]
+        data = base64.b64decode(run + "=" * (-len(run) % 4))
+        first = skip + np.arange(len(data)) * 4 // 3
+        yield _Layer(data.decode("latin-1"), starts[first], ends[np.minimum(first + 1, len(body) - 1)])
 
 
 def find(text: str) -> tuple[list[Span], list[Span]]:
     """The finds in the text itself, and all finds of all layers, both as spans of the original text."""
     base = sorted(scan(text), key=lambda s: (s[1], s[0], s[2]))
     spans = set(base)
-    work, seen = [_Layer(text)], {hashlib.blake2b(text.encode()).digest()}
+    work, seen = [_Layer(text)], {(hashlib.blake2b(text.encode()).digest(), 0, len(text))}
 
     def offer(layer: _Layer | None) -> None:
-        if layer is not None and (digest := hashlib.blake2b(layer.text.encode()).digest()) not in seen:
-            seen.add(digest)
+        if layer is not None and layer.text and (at := (hashlib.blake2b(layer.text.encode()).digest(), *layer.origin(0, len(layer.text)))) not in seen:
+            seen.add(at)
             work.append(layer)
 
     while work:
@@ -163,18 +179,15 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
             offer(layer.replaced(_PERCENT, _percent))
         if "\\" in layer.text or "&#" in layer.text:
             offer(layer.replaced(_UNICODE, _escapes))
-        for m in _BASE64.finditer(layer.text):
-            data = _base64_bytes(m[0])
-            if data is None:
-                continue
-            a, b = layer.origin(m.start(), m.end())
-            try:
-                inner = _plain(data)
-            except MemoryError:
+        for inner, a, b in _streams(layer):
+            if inner is None:
                 spans.add((3, a, b))
-                continue
-            if inner is not None:
-                offer(_Layer(inner, np.full(len(inner), a), np.full(len(inner), b)))
+            else:
+                offer(_Layer(inner.decode("latin-1"), np.broadcast_to(np.int64(a), len(inner)), np.broadcast_to(np.int64(b), len(inner))))
+        for pattern in (_BASE64, _WRAPPED):
+            for m in pattern.finditer(layer.text):
+                for inner in _decoded(layer, m.start(), m.end()):
+                    offer(inner)
     return base, sorted(spans, key=lambda s: (s[1], s[0], s[2]))
 
 

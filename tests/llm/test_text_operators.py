@@ -1,11 +1,13 @@
 """Operators that look at one text at a time, against plain versions of the same definitions."""
 
 import base64
+import bz2
 import gzip
 import hashlib
 import random
 import re
 import urllib.parse
+import zlib
 
 import numpy as np
 import pytest
@@ -120,6 +122,39 @@ def test_cycles_end_and_bombs_are_reported():
     assert [k for k, _, _ in secret_scan.find(f"x {bomb}")[1]].count(3) == 1
 
 
+def wrapped(data, width=20, by="\n"):
+    run = base64.b64encode(data).decode()
+    return by.join(run[i : i + width] for i in range(0, len(run), width))
+
+
+PACKED = gzip.compress(f"first {INNER} last".encode(), mtime=0)
+HARD = {
+    "percent gzip": urllib.parse.quote(PACKED), "all percent gzip": "".join(f"%{b:02x}" for b in PACKED),
+    "escaped gzip": "".join(f"\\x{b:02x}" for b in PACKED), "percent bzip2": urllib.parse.quote(bz2.compress(INNER.encode())),
+    "other byte": base64.b64encode(b"\xff\xfe " + INNER.encode()).decode(), "control": base64.b64encode(b"\x00\x01" + INNER.encode()).decode(),
+    "percent other byte": "%ff%fe" + "".join(f"%{b:02x}" for b in INNER.encode()), "lone surrogate": "\\ud800" + "".join(f"\\u{ord(c):04x}" for c in INNER),
+    **{f"glued {glue}": glue + base64.b64encode(INNER.encode()).decode().rstrip("=") for glue in ("/", "io/", "a_b-", "abcde", "https/long-path/x/")},
+    "glued packed": "ab/" + base64.b64encode(PACKED).decode(), "glued after": base64.b64encode(INNER.encode() + b"..").decode() + "/rest",
+    "wrapped": wrapped(b"x" * 9 + INNER.encode() + b"y" * 9), "wrapped CRLF": wrapped(INNER.encode() * 2, 12, "\r\n"), "wrapped packed": wrapped(PACKED),
+    "wrapped escaped": wrapped(PACKED, 20, "\\n"), "second stream": base64.b64encode(gzip.compress(b"nothing here") + b"--" + zlib.compress(INNER.encode())).decode(),
+    "two members": base64.b64encode(gzip.compress(INNER[:7].encode()) + gzip.compress(INNER[7:].encode())).decode(),
+}
+
+
+@pytest.mark.parametrize("name", HARD)
+def test_hard_layers_are_unwrapped(name):
+    text = f"see é {HARD[name]} end"
+    spans = [(a, b) for k, a, b in secret_scan.find(text)[1] if k == 0]
+    assert any(6 <= a < b <= len(text) - 4 for a, b in spans), spans
+
+
+def test_each_copy_of_an_encoded_secret_has_its_span():
+    run = base64.b64encode(INNER.encode()).decode()
+    text = f"word\nlist\n{run} and {run}\nmore"
+    spans = secret_scan.find(text)[1]
+    assert spans == [(0, 10, 10 + len(run)), (0, 15 + len(run), 15 + 2 * len(run))]
+
+
 def test_secret_columns_on_odd_rows(make_docs):
     rows = make_docs([(i, t) for i, t in enumerate([*ODD, "token=abcdef token=abcdef", "token=abcdef token=abcdef"])]).withColumn("spans", F.lit(1))
     found = rows.select("*", secret_scan.secrets("text", redact=True).alias("s")).orderBy("doc_id").collect()
