@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakemason.llm import byte_bpe, chat, mixing, multi_index, ngram_lm, quality, secret_scan, simhash, toxicity, uniform_threshold
+from lakemason.llm import (
+    alignment, byte_bpe, chat, html_text, mixing, multi_index, ngram_lm, quality, secret_scan, simhash, spelling, toxicity, uniform_threshold)
 from lakemason.llm.labelled import held_out
 from lakemason.sources.tables import read
 
@@ -20,6 +21,18 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def pieces_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "source", mixing.words("text").alias("size"))
     mixed = mixing.mix(docs).withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
@@ -142,8 +155,72 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM placed WHERE rank <= 5
 """
 
+
+def op11_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read(spark, folder, "pages")
+    texts = pages.select("page_id", "url", html_text.extract("html", html_text.fit(pages)).alias("text"))
+    return texts.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+# Pages of these tables name their main text: one article of headings and paragraphs.
+OP11_SQL = r"""
+WITH bodies AS (SELECT page_id, url, COALESCE(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '') AS body FROM pages),
+blocks AS (
+  SELECT page_id, url, list_transform(string_split_regex(body, '</?(?:h1|p)>'), lambda b:
+    regexp_replace(regexp_replace(regexp_replace(b, '<br>', ' ', 'g'), '<[^>]*>', '', 'g'), '&quot;?', '"', 'g')) AS parts
+  FROM bodies),
+texts AS (
+  SELECT page_id, url, array_to_string(list_filter(list_transform(parts, lambda b:
+    trim(regexp_replace(regexp_replace(b, '&amp;?', '&', 'g'), '\s+', ' ', 'g'))), lambda b: b <> ''), chr(10)) AS text
+  FROM blocks)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM texts
+"""
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.linked_counts(read(spark, folder, "documents"), tokenizer_path(), pieces_path())
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_variants(read(spark, folder, "documents")).select("word", "n", "n_near", "form", "form_n", "root")
+
+
+# Fixed values in it: the CRC-32 remainders of the sixteen half bytes.
+OP13_SQL = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)
+  GROUP BY doc_id, run),
+hexed AS (SELECT run, n, hex(encode(COALESCE(doc_id::VARCHAR, '') || ':' || run)) AS h FROM runs),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_transform(range(0, length(h)), lambda i: (strpos('0123456789ABCDEF', h[CASE WHEN i % 2 = 0 THEN i + 2 ELSE i END]) - 1)::BIGINT),
+    lambda c, x: xor(c >> 4, [0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948,
+      3988292384, 4027552580, 3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108][(xor(c, x) & 15) + 1]),
+    4294967295::BIGINT)) AS crc
+  FROM hexed),
+made AS (
+  SELECT n, CASE WHEN crc % 199 = 0 THEN left(run, (crc % length(run))::INTEGER) || substr(run, (crc % length(run))::INTEGER + 2) ELSE run END AS word FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM made WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cuts AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM words, unnest(range(1, length(word) + 1)) AS t(i)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cuts a JOIN words b ON a.rest = b.word
+  UNION SELECT a.word, b.word, b.n FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place FROM near),
+formed AS (
+  SELECT w.word, w.n, COALESCE(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 5 * w.n THEN other END AS form, CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND place = 1),
+steps AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL SELECT s.word, f.form FROM steps s JOIN formed f ON f.word = s.root WHERE f.form IS NOT NULL),
+ends AS (SELECT s.word, s.root FROM steps s JOIN formed f ON f.word = s.root WHERE f.form IS NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, e.root FROM formed f JOIN ends e ON e.word = f.word
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_mixing, op2_multi_index, op3_ngram_lm, op4_quality, op5_chat, op6_toxicity, op7_byte_bpe, op8_secret_scan, op9_simhash, op10_uniform_threshold)
+        op1_mixing, op2_multi_index, op3_ngram_lm, op4_quality, op5_chat, op6_toxicity, op7_byte_bpe, op8_secret_scan, op9_simhash, op10_uniform_threshold,
+        op11_html_text, op12_alignment, op13_spelling)
 }
-SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op5_chat": OP5_SQL, "op10_uniform_threshold": OP10_SQL}
+SQL: dict[str, str] = {"op1_mixing": OP1_SQL, "op5_chat": OP5_SQL, "op10_uniform_threshold": OP10_SQL, "op11_html_text": OP11_SQL, "op13_spelling": OP13_SQL}
