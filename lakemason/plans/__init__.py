@@ -11,7 +11,7 @@ from lakemason.plans.registry import QUERIES, Tables
 
 def _load() -> None:
     from lakemason.plans import (  # noqa: F401  (importing registers)
-        basics, dimensional, hierarchies, ingestion, joining, layouts, profiling, semistructured, windowing,
+        basics, dimensional, generated, hierarchies, ingestion, joining, layouts, profiling, semistructured, windowing,
     )
 
 

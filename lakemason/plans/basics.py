@@ -12,7 +12,6 @@ from lakemason.operators import aggregates as A, setops as S, topk as K
 from lakemason.operators.ordered import nth_rows, running, with_totals
 from lakemason.plans.registry import Tables, m, query, r
 from lakemason.sources import sinks
-from lakemason.sources.synthetic import ORDER_STATUS, amount, weighted
 from lakemason.sources.tables import inline
 
 c = F.col
@@ -46,12 +45,6 @@ def _(t: Tables):
         "day_no", F.datediff("day", "lo") + 1)
 
 
-@query("src_synth", "int: o_orderkey; text: status; float: fee")
-def _(t: Tables):
-    return t.orders.select("o_orderkey", weighted(42, "status", ORDER_STATUS, "o_orderkey").alias("status"),
-                           amount(42, "fee", 1, 20, "o_orderkey").alias("fee"))
-
-
 @query("sink_append", "int: o_orderkey; text: o_orderstatus",
        "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F','O')")
 def _(t: Tables):
