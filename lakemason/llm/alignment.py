@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -110,6 +111,9 @@ class Tokenizers:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a_len, self.b_len = (np.array([len(t) for t in table]) for table in (self.a_bytes, self.b_bytes))
+        # how an id is written, by what follows it
+        self.a_said = [np.array([f"{i}{mark}" for i in range(len(self.a_bytes))], object) for mark in ",|"]
+        self.b_said = [np.array([f"{i}{mark}" for i in range(len(self.b_bytes))], object) for mark in (",", ";", "\n")]
         #: No piece goes on after a space that follows something else: then a text may be cut there.
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
 
@@ -157,10 +161,11 @@ class Chunks:
         self.number: dict[str, int] = {}  # chunk without its space
         self.said: list[str] = []  # its groups
         self.counts = np.zeros((0, 4), np.int64)  # A tokens, B tokens, groups, links; all zero if not given back
-        self.ptr, self.codes, self.links = (np.zeros(n, np.int64) for n in (1, 0, 0))
+        self.pairs, self.codes, self.links = (np.zeros(0, np.int64) for _ in range(3))  # number of id pairs; the pairs and their links
         self.size = 0
+        self._new: list[tuple[np.ndarray, ...]] = []
 
-    def learn(self, new: list[str]) -> None:
+    def learn(self, new: Iterable[str]) -> None:
         """Encode and align chunks not met before, many at a time; those that begin or end in white space alone."""
         part: list[str] = []
         size = 0
@@ -175,30 +180,32 @@ class Chunks:
             size += len(chunk) + 1
         if part:
             self._align(part)
+        if self._new:
+            old = (self.counts, self.pairs, self.codes, self.links)
+            self.counts, self.pairs, self.codes, self.links = (np.concatenate([o, *n]) for o, n in zip(old, zip(*self._new)))
+            self._new = []
 
     def _align(self, part: list[str]) -> None:
         tok = self.tokenizers
         together = tok.encode("".join(" " + c for c in part)) if tok.cuts or len(part) == 1 else None
-        if together is None and len(part) > 1:  # some chunk does not come back: each by itself
-            for chunk in part:
-                self._align([chunk])
+        if together is None and len(part) > 1:  # some chunk does not come back: halve until it is alone
+            self._align(part[: len(part) // 2])
+            self._align(part[len(part) // 2 :])
             return
         for chunk in part:
             self.number[chunk] = len(self.number)
             self.size += 300 + 2 * len(chunk)
         if together is None:
-            self.said += [""]
-            self.counts = np.concatenate([self.counts, np.zeros((1, 4), np.int64)])
-            self.ptr = np.append(self.ptr, self.ptr[-1])
+            self.said.append("")
+            none = np.zeros(0, np.int64)
+            self._new.append((np.zeros((1, 4), np.int64), np.zeros(1, np.int64), none, none))
             return
         a, b = together
         ends = np.cumsum([len(c.encode()) + 1 for c in part])
-        a_ends = np.cumsum(tok.a_len[a])
         shared = overlaps(tok.a_len[a], tok.b_len[b])
         of_a, of_b = groups(shared)
-        n = len(part)
-        chunk_of_a = np.searchsorted(ends, a_ends)
-        n_groups = int(of_a[-1]) + 1
+        n, n_groups = len(part), int(of_a[-1]) + 1
+        chunk_of_a = np.searchsorted(ends, np.cumsum(tok.a_len[a]))
         chunk_of_group = np.zeros(n_groups, np.int64)
         chunk_of_group[of_a] = chunk_of_a
         # rows: (chunk, A id); columns: groups; then B ids
@@ -206,33 +213,37 @@ class Chunks:
         b_ids, right = np.unique(b, return_inverse=True)
         by_group = Csr.of(left, of_a, np.ones(len(a), np.int64), (len(left_rows), n_groups))
         linked = by_group @ Csr.of(of_b, right, np.ones(len(b), np.int64), (n_groups, len(b_ids)))
-        pair_chunk = (left_rows >> 32)[linked.rows]
-        self.codes = np.concatenate([self.codes, (left_rows & 0xFFFFFFFF)[linked.rows] << 32 | b_ids[linked.cols]])
-        self.links = np.concatenate([self.links, linked.vals])
-        self.ptr = np.concatenate([self.ptr, self.ptr[-1] + np.cumsum(np.bincount(pair_chunk, minlength=n))])
+        rows = left_rows[linked.rows]
         links = np.bincount(of_a, minlength=n_groups) * np.bincount(of_b, minlength=n_groups)
-        totals = np.stack([np.bincount(chunk_of_a, minlength=n), np.bincount(chunk_of_group[of_b], minlength=n), np.bincount(chunk_of_group, minlength=n)])
-        per_chunk = np.zeros(n, np.int64)
-        np.add.at(per_chunk, chunk_of_group, links)
-        self.counts = np.concatenate([self.counts, np.concatenate([totals, per_chunk[None]]).T.astype(np.int64)])
-        said = _written(a, b, of_a, of_b, chunk_of_group, n)
+        ends_of = np.searchsorted(chunk_of_group, np.arange(n + 1))
+        n_links = np.diff(np.concatenate([[0], np.cumsum(links)])[ends_of])
+        totals = [np.bincount(c, minlength=n) for c in (chunk_of_a, chunk_of_group[of_b], chunk_of_group)]
+        codes = (rows & 0xFFFFFFFF) << 32 | b_ids[linked.cols]
+        self._new.append((np.stack([*totals, n_links], 1).astype(np.int64), np.bincount(rows >> 32, minlength=n), codes, linked.vals))
+        said = self._written(a, b, of_a, of_b, chunk_of_group)
         self.said += said
-        self.size += sum(map(len, said)) + 16 * len(pair_chunk)
+        self.size += sum(map(len, said)) + 16 * len(codes)
+
+    def _written(self, a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, owner: np.ndarray) -> list[str]:
+        """``a1,a2|b1;a3|b2,b3`` for each chunk."""
+        tok = self.tokenizers
+        last_a, last_b = np.append(of_a[1:] != of_a[:-1], True), np.append(of_b[1:] != of_b[:-1], True)
+        last_group = np.append(owner[1:] != owner[:-1], True)[of_b] & last_b
+        said_a = np.where(last_a, tok.a_said[1][a], tok.a_said[0][a])
+        said_b = np.where(last_group, tok.b_said[2][b], np.where(last_b, tok.b_said[1][b], tok.b_said[0][b]))
+        order = np.argsort(np.concatenate([of_a * 2, of_b * 2 + 1]), kind="stable")
+        return "".join(np.concatenate([said_a, said_b])[order].tolist()).split("\n")[:-1]
 
 
-def _written(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, owner: np.ndarray, n: int) -> list[str]:
-    """``a1,a2|b1;a3|b2,b3`` for each chunk."""
-    n_groups = len(owner)
-    a_at, b_at = (np.searchsorted(of, np.arange(n_groups + 1)).tolist() for of in (of_a, of_b))
-    a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    told = [f"{','.join(a_text[a_at[g] : a_at[g + 1]])}|{','.join(b_text[b_at[g] : b_at[g + 1]])}" for g in range(n_groups)]
-    at = np.searchsorted(owner, np.arange(n + 1)).tolist()
-    return [";".join(told[at[c] : at[c + 1]]) for c in range(n)]
+#: Where a text's words are not its chunks: white space at an end, or beside a space.
+_EDGE = re.compile(r"^\s|\s$| \s|\s ")
 
 
 def chunks_of(text: str) -> list[str]:
     """A text cut at single spaces between two other characters; each chunk stands for a space and itself."""
     words = text.split(" ")
+    if not _EDGE.search(text):
+        return words
     out = [words[0]]
     before = words[0]
     for word in words[1:]:
@@ -250,51 +261,42 @@ class Block:
     def __init__(self, chunks: Chunks):
         self.chunks = chunks
         self.ids: list[int | None] = []
-        self.rows: list[list[int]] = []
+        self.texts: list[str | None] = []
         self.size = 0
 
-    def add(self, doc_id: int | None, text: str | None, cut_chunks: bool) -> None:
-        known = self.chunks.number
-        row: list[int | None] = []
-        if text:
-            words = text.split(" ") if cut_chunks else [text]
-            row = list(map(known.get, words))
-            # chunks that hold spaces are known by another name than their words, so any word may stand for itself
-            # only where the text may be cut on both of its sides
-            if None in row or any(not w or w[0].isspace() or w[-1].isspace() for w in words):
-                parts = chunks_of(text) if cut_chunks else [text]
-                self.chunks.learn(list(dict.fromkeys(p for p in parts if p not in known)))
-                row = [known[p] for p in parts]
-            self.size += len(text)
+    def add(self, doc_id: int | None, text: str | None) -> None:
         self.ids.append(doc_id)
-        self.rows.append(row)
+        self.texts.append(text)
+        self.size += len(text or "")
 
     def packed(self, number: int) -> dict[str, object]:
         """One row: the texts' own columns, the distinct id pairs and how many texts hold them, and the texts' links."""
         table = self.chunks
-        sizes = np.array([len(r) for r in self.rows], np.int64)
+        parts = [(chunks_of(t) if table.tokenizers.cuts else [t]) if t else [] for t in self.texts]
+        known = table.number
+        table.learn(dict.fromkeys(p for part in parts for p in part if p not in known))
+        rows = [[known[p] for p in part] for part in parts]
+        sizes = np.array([len(r) for r in rows], np.int64)
         text_of = np.repeat(np.arange(len(sizes)), sizes)
-        chunk = np.fromiter((c for r in self.rows for c in r), np.int64, int(sizes.sum()))
+        chunk = np.fromiter((c for r in rows for c in r), np.int64, int(sizes.sum()))
         lost = np.zeros(len(sizes), bool)
         lost[text_of[table.counts[chunk, 0] == 0]] = True
+        said = table.said
+        shas = [hashlib.sha256(";".join([said[c] for c in row]).encode()).hexdigest() if row and not gone else "" for row, gone in zip(rows, lost.tolist())]
         kept = ~lost[text_of]
         text_of, chunk = text_of[kept], chunk[kept]
-        counts = np.zeros((len(sizes), 4), np.int64)
-        np.add.at(counts, text_of, table.counts[chunk])
-        shas = [
-            hashlib.sha256(";".join([table.said[c] for c in row]).encode()).hexdigest() if row and not gone else ""
-            for row, gone in zip(self.rows, lost.tolist())
-        ]
         # texts by chunks, times chunks by id pairs
         met, local = np.unique(chunk, return_inverse=True)
-        spans = np.diff(table.ptr)[met]
-        at = np.arange(int(spans.sum())) - np.repeat(np.cumsum(spans) - spans, spans) + np.repeat(table.ptr[met], spans)
+        held_by = Csr.of(text_of, local, np.ones(len(local), np.int64), (len(sizes), len(met)))
+        counts = np.stack([np.bincount(text_of, table.counts[chunk, k], len(sizes)) for k in range(4)]).astype(np.int64)
+        spans, starts = table.pairs[met], (np.cumsum(table.pairs) - table.pairs)[met]
+        at = np.arange(int(spans.sum())) - np.repeat(np.cumsum(spans) - spans, spans) + np.repeat(starts, spans)
         codes, pair = np.unique(table.codes[at], return_inverse=True)
-        held = Csr.of(np.repeat(np.arange(len(met)), spans), pair, table.links[at], (len(met), len(codes)))
-        links = Csr.of(text_of, local, np.ones(len(local), np.int64), (len(sizes), len(met))) @ held
+        ptr = np.concatenate([[0], np.cumsum(spans)])
+        links = held_by @ Csr(ptr, pair, table.links[at], len(codes))
         steps = np.diff(links.cols, prepend=0).astype("<i4")  # columns ascend within a text: small numbers
         return {
-            "block": number, "doc_ids": self.ids, "shas": shas, **{k: counts[:, i] for i, k in enumerate(("n_a", "n_b", "n_groups", "n_links"))},
+            "block": number, "doc_ids": self.ids, "shas": shas, **{k: counts[i] for i, k in enumerate(("n_a", "n_b", "n_groups", "n_links"))},
             "n_pairs": np.diff(links.ptr), "links": zstandard.compress(steps.tobytes() + links.vals.astype("<i8").tobytes(), 1),
             "a": codes >> 32, "b": codes & 0xFFFFFFFF, "texts": np.bincount(links.cols, minlength=len(codes)),
         }
@@ -330,7 +332,7 @@ def aligned_blocks(docs: DataFrame, a_path: str, b_path: str, size: int = BLOCK)
             ids, first = batch.column(0).to_pylist(), 0
             for part in small([batch.column(1)], 32):
                 for doc_id, text in zip(ids[first : first + len(part)], part.to_pylist()):
-                    block.add(doc_id, text, block.chunks.tokenizers.cuts)
+                    block.add(doc_id, text)
                     if block.size >= size:
                         yield row()
                         n += 1
