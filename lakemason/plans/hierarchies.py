@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from lakemason.functions.columns import literal, money, ratio
 from lakemason.operators import hierarchy as H
+from lakemason.operators.components import closing_edges, strong_components
 from lakemason.plans.registry import Tables, m, query, r
 from lakemason.sources.tables import days
 
@@ -76,6 +77,42 @@ def _(t: Tables):
     return H.marked_tree(looped(t), "id", "parent_id")
 
 
+# Urgent orders of a month, in order: from each one's customer to the next one's.
+_HANDOVERS = """handovers AS (SELECT * FROM (SELECT o_custkey AS giver, LEAD(o_custkey) OVER (PARTITION BY date_trunc('month', o_orderdate)
+    ORDER BY o_orderdate, o_orderkey) AS taker FROM orders WHERE o_orderpriority = '1-URGENT') WHERE taker IS NOT NULL)"""
+_MUTUAL = f"""WITH RECURSIVE {_HANDOVERS}, reach AS (SELECT giver AS a, taker AS b FROM handovers
+      UNION SELECT a, taker FROM reach JOIN handovers ON giver = b),
+    placed AS (SELECT x.a AS id, MIN(x.b) AS component_id, COUNT(*) AS size FROM reach x JOIN reach y ON x.a = y.b AND x.b = y.a GROUP BY x.a)"""
+
+
+def handovers(t: Tables):
+    urgent = t.orders.filter("o_orderpriority = '1-URGENT'")
+    month = Window.partitionBy(F.date_trunc("month", "o_orderdate")).orderBy("o_orderdate", "o_orderkey")
+    return urgent.select(c("o_custkey").alias("giver"), F.lead("o_custkey").over(month).alias("taker")).filter("taker IS NOT NULL")
+
+
+@query("rec_components", "int: id component_id size", f"{_MUTUAL} SELECT * FROM placed")
+def _(t: Tables):
+    """Customers on a cycle of handovers, by strongly connected component."""
+    return strong_components(handovers(t), "giver", "taker")
+
+
+@query("rec_cycle_edges", "int: giver taker n", f"""
+    {_MUTUAL} SELECT giver, taker, COUNT(*) AS n FROM handovers JOIN placed p ON p.id = giver JOIN placed q ON q.id = taker
+    WHERE p.component_id = q.component_id GROUP BY 1, 2""")
+def _(t: Tables):
+    return closing_edges(handovers(t), "giver", "taker").groupBy("giver", "taker").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("rec_cycle_members", "text: id component_id; int: size", f"""
+    WITH RECURSIVE {_LOOPED}, reach AS (SELECT parent_id AS a, id AS b FROM nodes WHERE parent_id IS NOT NULL
+      UNION SELECT a, id FROM reach JOIN nodes ON parent_id = b)
+    SELECT x.a AS id, MIN(x.b) AS component_id, COUNT(*) AS size FROM reach x JOIN reach y ON x.a = y.b AND x.b = y.a GROUP BY x.a""")
+def _(t: Tables):
+    """The places on the loop that the tree with one edge too many has."""
+    return strong_components(looped(t), "parent_id", "id")
+
+
 def _direct(t: Tables):
     return t.lineitem.groupBy(F.concat(F.lit("S"), "l_suppkey").alias("id")).agg(
         F.count_distinct("l_orderkey").alias("direct_orders"), F.sum(money("l_extendedprice")).alias("direct_revenue"))
