@@ -8,9 +8,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from lakemason.functions.columns import day_range, literal, money, months, order_columns, ratio, typed_equals
-from lakemason.operators import aggregates as A, setops as S, topk as K
+from lakemason.operators import aggregates as A, digests as D, setops as S, topk as K
 from lakemason.operators.ordered import nth_rows, running, with_totals
 from lakemason.plans.registry import Tables, m, query, r
+from lakemason.session import cut
 from lakemason.sources import sinks
 from lakemason.sources.tables import inline
 
@@ -507,6 +508,27 @@ def _(t: Tables):
     return S.reconcile(staged, t.orders.select("o_orderkey", "o_orderstatus"))
 
 
+# A fiftieth of the keys, in the middle, is edited: statuses changed, rows dropped, rows doubled.
+_LOCAL = """SELECT o_orderkey, o_custkey, CASE WHEN touched AND o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus
+    FROM (SELECT *, o_orderkey * 50 // (SELECT MAX(o_orderkey) + 1 FROM orders) = 25 AS touched FROM orders) o,
+      LATERAL (SELECT unnest(range(CASE WHEN touched AND o_orderkey % 5 = 1 THEN 2 ELSE 1 END))) WHERE NOT (touched AND o_orderkey % 5 = 0)"""
+
+
+@query("set_reconcile_digest", "text: diff_type; int: o_orderkey o_custkey; text: o_orderstatus; int: surplus", f"""
+    WITH both_sides AS (SELECT *, 1 AS n FROM ({_LOCAL}) UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, -1 FROM orders)
+    SELECT CASE WHEN SUM(n) > 0 THEN 'ONLY_IN_STAGING' ELSE 'ONLY_IN_PROD' END AS diff_type, o_orderkey, o_custkey, o_orderstatus, ABS(SUM(n)) AS surplus
+    FROM both_sides GROUP BY o_orderkey, o_custkey, o_orderstatus HAVING SUM(n) <> 0""")
+def _(t: Tables):
+    prod = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    top = t.orders.agg(F.max("o_orderkey") + 1).scalar()
+    touched = F.floor(c("o_orderkey") * 50 / top) == 25
+    staged = prod.withColumn("touched", touched).filter(~(c("touched") & (c("o_orderkey") % 5 == 0)))
+    copies = F.when(c("touched") & (c("o_orderkey") % 5 == 1), 2).otherwise(1)
+    staged = staged.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    status = F.when(c("touched") & (c("o_orderkey") % 3 == 0), "X").otherwise(c("o_orderstatus")).alias("o_orderstatus")
+    return D.reconcile_by_digest(cut(staged.select("o_orderkey", "o_custkey", status)), prod, "o_orderkey", counts=True)
+
+
 # ---------------------------------------------------------------- reporting views
 @query("view_customer_summary", "int: o_custkey n; float: revenue average; text: first_day last_day", f"""
     SELECT o_custkey, COUNT(*) AS n, SUM({m('o_totalprice')}) AS revenue, {r(f"SUM({m('o_totalprice')}) / COUNT(*)")} AS average,
