@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakemason.operators import quality as Q
+from lakemason.operators import quality as Q, sketches as K
 from lakemason.plans.joining import _VERSIONS, versions
 from lakemason.plans.registry import Tables, query, r
+from lakemason.session import scratch
 from lakemason.sources.tables import SCHEMAS
 
 c = F.col
@@ -136,6 +137,46 @@ def _(t: Tables):
     return Q.dependency(placed, "n_name", "r_name")
 
 
+def _kept_profiles(t: Tables) -> K.PartitionProfiles:
+    """Profiles by year of order, the last year added by an update of its own."""
+    dated = _coded(t).withColumn("year", F.year("o_orderdate"))
+    store = K.PartitionProfiles(t.spark, scratch(t.spark, "profiles"), "year")
+    last = dated.agg(F.max("year")).scalar()
+    store.update(dated.filter(c("year") < last), [*_COLUMNS, "o_totalprice"])
+    store.update(dated, [*_COLUMNS, "o_totalprice"])
+    return store
+
+
+@query("prof_kept_columns", "text: column_name; int: row_count; float: null_frac; bool: distinct_within", " UNION ALL ".join(
+    f"SELECT '{x}' AS column_name, COUNT(*) AS row_count, {r(f'(COUNT(*) - COUNT({x})) / COUNT(*)', 4)} AS null_frac, TRUE AS distinct_within FROM {_CODED}"
+    for x in [*_COLUMNS, "o_totalprice"]))
+def _(t: Tables):
+    """Profile merged from the sketches of each year; the distinct count is held against the exact one."""
+    exact = Q.profile(_coded(t), [*_COLUMNS, "o_totalprice"]).select("column_name", c("n_distinct").alias("true_distinct"))
+    merged = _kept_profiles(t).columns().join(exact, "column_name")
+    within = F.abs(c("n_distinct") - c("true_distinct")) <= 4 * K.DISTINCT_ERROR * c("true_distinct")
+    return merged.select("column_name", "row_count", "null_frac", within.alias("distinct_within"))
+
+
+@query("prof_kept_common", "text: column_name value; int: value_rank row_count; float: frequency",
+       " UNION ALL ".join(_common_sql(x) for x in ("o_orderstatus", "o_orderpriority", "code")))
+def _(t: Tables):
+    """Columns with few values: counts out of merged sketches are exact."""
+    return _kept_profiles(t).common_values(4).filter(c("column_name").isin("o_orderstatus", "o_orderpriority", "code"))
+
+
+@query("prof_kept_quantiles", "float: point; bool: rank_within", "SELECT unnest([0.1, 0.5, 0.9]) AS point, TRUE AS rank_within")
+def _(t: Tables):
+    """Where the merged quantiles of the price lie among all prices."""
+    points = [0.1, 0.5, 0.9]
+    found = _kept_profiles(t).quantiles(points).filter("column_name = 'o_totalprice'")
+    values = found.agg(*[F.max(F.when(c("point") == p, c("value"))).alias(f"v{i}") for i, p in enumerate(points)])
+    counted = t.orders.select("o_totalprice", *[values.select(v).scalar().alias(v) for v in values.columns])
+    shares = counted.agg(*[F.mean((c("o_totalprice") <= c(v)).cast("int")).alias(v) for v in values.columns])
+    told = F.array(*[F.struct(F.lit(p).alias("point"), (F.abs(c(f"v{i}") - p) <= 2 * K.RANK_ERROR).alias("rank_within")) for i, p in enumerate(points)])
+    return shares.select(F.explode(told).alias("x")).select("x.*")
+
+
 @query("prof_histogram", "int: bound; float: value", """
     WITH s AS (SELECT o_totalprice AS v, ROW_NUMBER() OVER (ORDER BY o_totalprice) AS rn, COUNT(*) OVER () AS n FROM orders)
     SELECT i AS bound, (SELECT MIN(v) FROM s WHERE rn >= CASE WHEN i = 0 THEN 1 ELSE CAST(CEIL(i * n / 20.0) AS BIGINT) END) AS value
