@@ -294,17 +294,19 @@ class Block:
         codes, pair = np.unique(table.codes[at], return_inverse=True)
         ptr = np.concatenate([[0], np.cumsum(spans)])
         links = held_by @ Csr(ptr, pair, table.links[at], len(codes))
+        own = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([self.ids, *counts, np.diff(links.ptr), shas], _OWN.types)], schema=_OWN)
         steps = np.diff(links.cols, prepend=0).astype("<i4")  # columns ascend within a text: small numbers
+        packed = own.serialize().to_pybytes()
         return {
-            "block": number, "doc_ids": self.ids, "shas": shas, **{k: counts[i] for i, k in enumerate(("n_a", "n_b", "n_groups", "n_links"))},
-            "n_pairs": np.diff(links.ptr), "links": zstandard.compress(steps.tobytes() + links.vals.astype("<i8").tobytes(), 1),
+            "block": number, "own": zstandard.compress(len(packed).to_bytes(8, "little") + packed + steps.tobytes() + links.vals.astype("<i8").tobytes(), 1),
             "a": codes >> 32, "b": codes & 0xFFFFFFFF, "texts": np.bincount(links.cols, minlength=len(codes)),
         }
 
 
-_BLOCKS = (
-    "block bigint, doc_ids array<bigint>, shas array<string>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, n_links array<bigint>, "
-    "n_pairs array<bigint>, links binary, a array<bigint>, b array<bigint>, texts array<bigint>")
+#: What a block says of its texts. It goes through the shuffle as bytes, as a row with lists is slow to hand to Python.
+_OWN = pa.schema([(n, pa.int64()) for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_pairs")] + [("sha", pa.string())])
+_LONGS = pa.list_(pa.int64())
+_BLOCKS = {"block": pa.int64(), "own": pa.binary(), "a": _LONGS, "b": _LONGS, "texts": _LONGS}
 _worker: dict[tuple[str, str], Chunks] = {}
 
 
@@ -326,7 +328,7 @@ def aligned_blocks(docs: DataFrame, a_path: str, b_path: str, size: int = BLOCK)
 
         def row() -> pa.RecordBatch:
             packed = block.packed(base + n)
-            return pa.RecordBatch.from_arrays([pa.array([v.tolist() if isinstance(v, np.ndarray) else v], _types()[k]) for k, v in packed.items()], list(packed))
+            return pa.RecordBatch.from_arrays([pa.array([packed[k]], kind) for k, kind in _BLOCKS.items()], list(_BLOCKS))
 
         for batch in batches:
             ids, first = batch.column(0).to_pylist(), 0
@@ -341,32 +343,28 @@ def aligned_blocks(docs: DataFrame, a_path: str, b_path: str, size: int = BLOCK)
         if block.ids:
             yield row()
 
-    return docs.select("doc_id", "text").mapInArrow(blocks, _BLOCKS)
-
-
-def _types() -> dict[str, pa.DataType]:
-    long = pa.list_(pa.int64())
-    return {"block": pa.int64(), "shas": pa.list_(pa.string()), "links": pa.binary()} | dict.fromkeys(
-        ("doc_ids", "n_a", "n_b", "n_groups", "n_links", "n_pairs", "a", "b", "texts"), long)
+    return docs.select("doc_id", "text").mapInArrow(blocks, "block bigint, own binary, a array<bigint>, b array<bigint>, texts array<bigint>")
 
 
 def _summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by block and place, a block's own row (place -1) before the counts of its pairs."""
-    own: dict | None = None
+    own: bytes | None = None
     counts: list[np.ndarray] = []
     best: list[np.ndarray] = []
 
     def told() -> pa.RecordBatch:
         n, top = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (counts, best))
-        raw = zstandard.decompress(own["links"])
-        total = len(raw) // 12
-        cols, vals = np.cumsum(np.frombuffer(raw, "<i4", total), dtype=np.int64), np.frombuffer(raw, "<i8", total, total * 4)
-        text_of = np.repeat(np.arange(len(own["doc_ids"])), own["n_pairs"])
-        n_best, count_sum = (np.zeros(len(own["doc_ids"]), np.int64) for _ in range(2))
+        raw = zstandard.decompress(own)
+        at = 8 + int.from_bytes(raw[:8], "little")
+        texts = pa.ipc.read_record_batch(pa.py_buffer(raw[8:at]), _OWN)
+        total = (len(raw) - at) // 12
+        cols, vals = np.cumsum(np.frombuffer(raw, "<i4", total, at), dtype=np.int64), np.frombuffer(raw, "<i8", total, at + total * 4)
+        text_of = np.repeat(np.arange(len(texts)), texts.column("n_pairs").to_numpy())
+        n_best, count_sum = (np.zeros(len(texts), np.int64) for _ in range(2))
         np.add.at(n_best, text_of, vals * top[cols])
         np.add.at(count_sum, text_of, vals * n[cols])
-        out = [own[k] for k in ("doc_ids", "n_a", "n_b", "n_groups", "n_links")] + [n_best, count_sum]
-        return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in out], pa.array(own["shas"], pa.string())], list(_COUNTED))
+        out = [texts.column(k) for k in ("doc_id", "n_a", "n_b", "n_groups", "n_links")] + [pa.array(n_best), pa.array(count_sum), texts.column("sha")]
+        return pa.RecordBatch.from_arrays(out, list(_COUNTED))
 
     for batch in batches:
         places, heads = batch.column("place").to_numpy(), batch.column("own")
@@ -398,9 +396,8 @@ def linked_counts(docs: DataFrame, a_path: str, b_path: str, size: int = BLOCK)
     counts = cut(asked.groupBy("a", "b").agg(F.sum("texts").alias("n")))
     top = counts.groupBy("a").agg(F.max("n").alias("top"))  # one row an id of A: no more than its vocabulary
     counts = counts.join(F.broadcast(top), "a").select("a", "b", "n", (F.col("n") == F.col("top")).cast("bigint").alias("best"))
-    own = F.struct("doc_ids", "shas", "n_a", "n_b", "n_groups", "n_links", "n_pairs", "links").alias("own")
-    heads = blocks.select("block", F.lit(-1).alias("place"), F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("best"), own)
-    answers = asked.join(counts, ["a", "b"]).select("block", "place", "n", "best", F.lit(None).cast(heads.schema["own"].dataType).alias("own"))
+    heads = blocks.select("block", F.lit(-1).alias("place"), F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("best"), "own")
+    answers = asked.join(counts, ["a", "b"]).select("block", "place", "n", "best", F.lit(None).cast("binary").alias("own"))
     rows = heads.unionAll(answers).repartition("block").sortWithinPartitions("block", "place")
     schema = ", ".join(f"{c} {'string' if c == 'groups_sha256' else 'bigint'}" for c in _COUNTED)
     return rows.drop("block").mapInArrow(_summed, schema)
