@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
-from lakemason.operators import quality as Q, sketches as K
+from lakemason.operators import dependencies as L, quality as Q, sketches as K
 from lakemason.plans.joining import _VERSIONS, versions
 from lakemason.plans.registry import Tables, query, r
 from lakemason.session import scratch
@@ -137,6 +139,48 @@ def _(t: Tables):
     return Q.dependency(placed, "n_name", "r_name")
 
 
+_PLACED = """(SELECT c_custkey, c_nationkey, n_name, r_name, c_mktsegment FROM customer JOIN nation ON c_nationkey = n_nationkey
+    JOIN region ON n_regionkey = r_regionkey)"""
+_PLACE_COLUMNS = ["c_custkey", "c_nationkey", "n_name", "r_name", "c_mktsegment"]
+
+
+def _all_dependencies() -> str:
+    """Error of every set and column, told if it is small and that of no part of the set is."""
+    parts = []
+    for size in range(len(_PLACE_COLUMNS)):
+        for left in combinations(_PLACE_COLUMNS, size):
+            for right in (x for x in _PLACE_COLUMNS if x not in left):
+                keys = "".join(f"{x}, " for x in left)
+                parts.append(f"""SELECT [{', '.join(repr(x) for x in left)}]::VARCHAR[] AS left_side, '{right}' AS dependent,
+                  SUM(n - top) / SUM(n) AS error FROM (SELECT SUM(k) AS n, MAX(k) AS top FROM (SELECT {keys}{right}, COUNT(*) AS k
+                  FROM {_PLACED} GROUP BY ALL) {'GROUP BY ' + ', '.join(left) if left else ''})""")
+    return " UNION ALL ".join(parts)
+
+
+@query("prof_dependencies", "text: determinant dependent; float: error", f"""
+    WITH tried AS ({_all_dependencies()}), small AS (SELECT * FROM tried WHERE error <= 0.1)
+    SELECT array_to_string(left_side, ',') AS determinant, dependent, ROUND(error, 6) AS error FROM small s WHERE NOT EXISTS (
+      SELECT 1 FROM small p WHERE p.dependent = s.dependent AND len(p.left_side) < len(s.left_side) AND list_has_all(s.left_side, p.left_side))""")
+def _(t: Tables):
+    """All minimal dependencies among the columns of the placed customers, up to a tenth of the rows off."""
+    placed = t.customer.join(t.nation, c("c_nationkey") == c("n_nationkey")).join(t.region, c("n_regionkey") == c("r_regionkey"))
+    found = L.dependencies(placed, _PLACE_COLUMNS, max_error=0.1)
+    return found.select(F.array_join("determinant", ",").alias("determinant"), "dependent", F.round("error", 6).alias("error"))
+
+
+@query("prof_joint_values", "text: column_names items; int: value_rank row_count; float: frequency independent_frequency", """
+    WITH o AS (SELECT o_orderstatus AS a, o_orderpriority AS b, CAST(year(o_orderdate) AS VARCHAR) AS d FROM orders), n AS (SELECT COUNT(*) AS n FROM o),
+    joint AS (SELECT 'status,priority' AS column_names, a AS x, b AS y, COUNT(*) AS k FROM o GROUP BY a, b
+      UNION ALL SELECT 'status,year', a, d, COUNT(*) FROM o GROUP BY a, d UNION ALL SELECT 'priority,year', b, d, COUNT(*) FROM o GROUP BY b, d),
+    single AS (SELECT a AS v, COUNT(*) AS k FROM o GROUP BY 1 UNION ALL SELECT b, COUNT(*) FROM o GROUP BY 1 UNION ALL SELECT d, COUNT(*) FROM o GROUP BY 1),
+    ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY column_names ORDER BY k DESC, x, y) AS value_rank FROM joint)
+    SELECT column_names, x || '|' || y AS items, value_rank, r.k AS row_count, ROUND(r.k / n, 6) AS frequency,
+      ROUND((p.k::DOUBLE / n) * (q.k::DOUBLE / n), 6) AS independent_frequency FROM ranked r, n, single p, single q WHERE p.v = x AND q.v = y AND value_rank <= 5""")
+def _(t: Tables):
+    rows = t.orders.select(c("o_orderstatus").alias("status"), c("o_orderpriority").alias("priority"), F.year("o_orderdate").alias("year"))
+    return L.joint_common_values(rows, ["status", "priority", "year"], 5).withColumn("items", F.array_join("items", "|"))
+
+
 def _kept_profiles(t: Tables) -> K.PartitionProfiles:
     """Profiles by year of order, the last year added by an update of its own."""
     dated = _coded(t).withColumn("year", F.year("o_orderdate"))
