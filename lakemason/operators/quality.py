@@ -17,21 +17,42 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionAll, parts)
 
 
+_KINDS = {"tinyint": "bigint", "smallint": "bigint", "int": "bigint", "bigint": "bigint", "float": "double", "double": "double",
+          "string": "string", "date": "date", "timestamp": "timestamp", "timestamp_ntz": "timestamp_ntz", "boolean": "boolean"}
+
+
+def _key_type(child: str, parent: str) -> str:
+    """The type that a foreign key and what it refers to are compared in; whole numbers and decimals up to 20 digits
+    compare exactly with one another, with floating numbers as doubles."""
+    a, b = (t if t.startswith("decimal") else _KINDS.get(t) for t in (child, parent))
+    numbers = ("bigint", "double")
+    if a == b and a is not None and not a.startswith("decimal"):
+        return a
+    if a and b and all(t in numbers or t.startswith("decimal") for t in (a, b)):
+        return "double" if "double" in (a, b) else "decimal(38,18)"
+    raise TypeError(f"a key of type {child} cannot refer to one of type {parent}")
+
+
 def orphans(child: DataFrame, checks: dict[str, tuple[str, DataFrame, str]]) -> DataFrame:
     """Foreign-key checks ``name -> (fk, parent, pk)`` of one table; orphan rows and PASS/FAIL per check.
 
-    The child is read once for all checks. Its keys and those of the parents are counted together map-side, so one
-    shuffle carries each key at most once a task. A key and what it refers to must have the same type.
+    The child is read once for all checks whose keys have the same type. Keys are counted in their own type where they
+    are read, so a key is shuffled at most once a task, and what is left is anti-joined to the parents. A NULL key refers
+    to nothing and is no orphan. Keys of different types are compared in their common one; without one it is an error.
     """
-    cells = F.array(*[F.struct(F.lit(n).alias("name"), F.col(fk).cast("string").alias("key")) for n, (fk, _, _) in checks.items()])
-    used = child.select(F.explode(cells).alias("cell")).select("cell.*", F.lit(1).alias("row"))
-    known = [parent.select(F.lit(n).alias("name"), F.col(pk).cast("string").alias("key"), F.lit(0).alias("row"))
-             for n, (_, parent, pk) in checks.items()]
-    keys = reduce(DataFrame.unionAll, known, used).filter("key IS NOT NULL").groupBy("name", "key").agg(
-        F.sum("row").alias("n"), F.min("row").alias("lost"))
-    lost = keys.filter("lost = 1").agg(*[F.coalesce(F.sum(F.when(F.col("name") == n, F.col("n"))), F.lit(0)).alias(n) for n in checks])
+    groups: dict[str, list[str]] = {}
+    for name, (fk, parent, pk) in checks.items():
+        groups.setdefault(_key_type(dict(child.dtypes)[fk], dict(parent.dtypes)[pk]), []).append(name)
+    numbers = {name: i for i, name in enumerate(checks)}
+    lost = []
+    for kind, names in groups.items():
+        cells = F.array(*[F.struct(F.lit(numbers[n]).alias("check"), F.col(checks[n][0]).cast(kind).alias("key")) for n in names])
+        used = child.select(F.explode(cells).alias("cell")).select("cell.*").filter("key IS NOT NULL").groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
+        known = reduce(DataFrame.unionAll, [checks[n][1].select(F.lit(numbers[n]).alias("check"), F.col(checks[n][2]).cast(kind).alias("key")) for n in names])
+        lost.append(used.join(known, ["check", "key"], "left_anti").select("check", "n"))
+    sums = reduce(DataFrame.unionAll, lost).agg(*[F.coalesce(F.sum(F.when(F.col("check") == i, F.col("n"))), F.lit(0)).alias(n) for n, i in numbers.items()])
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(f"`{n}`").alias("orphans")) for n in checks]))
-    return lost.select(pairs.alias("p")).select(
+    return sums.select(pairs.alias("p")).select(
         "p.*", F.when(F.col("p.orphans") == 0, "PASS").otherwise("FAIL").alias("status")
     )
 

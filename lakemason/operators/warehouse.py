@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from lakemason.functions.columns import all_equal, date_key, days_between
+from lakemason.functions.columns import all_equal, date_key, days_between, order_columns
 from lakemason.operators.ordered import _join_keys, attach, nth_rows, number_rows, running
+from lakemason.session import cut
 from lakemason.sources.tables import days
 
 # The unknown member of the date dimension, in column order.
@@ -98,6 +99,54 @@ def assign_keys(naturals: DataFrame, natural: Sequence[str], key: str, existing:
     return known.unionByName(keyed.select(*natural, (F.col("__top") + F.col("__rn")).cast("bigint").alias(key)))
 
 
+#: Hash buckets that keys are numbered in; part of what a key is, so never changed for a table once loaded.
+BUCKETS = 1024
+
+
+def number_by_bucket(df: DataFrame, natural: Sequence[str], out: str, *, bucket: Column | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """Dense numbers from 1 for rows that are unique in ``natural``, without sorting the table.
+
+    Two passes over hash buckets: count each one (one row a bucket), add the counts up to the bucket's first number, and
+    number the rows of each bucket where they lie. Buckets are even, as ``natural`` is unique. Numbers depend on the
+    rows alone, not on how they are partitioned.
+    """
+    place = F.pmod(F.xxhash64(*natural), F.lit(buckets)) if bucket is None else bucket
+    placed = cut(df.withColumn("__bucket", place.cast("bigint")))
+    counts = placed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row a bucket
+    offsets = counts.select("__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    local = Window.partitionBy("__bucket").orderBy(*order_columns(list(natural)))
+    numbered = placed.withColumn("__place", F.row_number().over(local)).join(F.broadcast(offsets), "__bucket")
+    return numbered.select(*df.columns, (F.col("__before") + F.col("__place")).cast("bigint").alias(out))
+
+
+def assign_keys_by_bucket(
+    naturals: DataFrame, natural: Sequence[str], key: str, existing: DataFrame | None = None, *, bucket: Column | None = None, buckets: int = BUCKETS
+) -> DataFrame:
+    """As ``assign_keys``, with new keys in the order of hash buckets: nothing is sampled or sorted over all rows.
+    Keys stay dense, known ones stay as they are, and a rerun gives the same."""
+    fresh = naturals.select(*natural).distinct()
+    if existing is None:
+        return number_by_bucket(fresh, natural, key, bucket=bucket, buckets=buckets)
+    known = existing.filter(F.col(key) > 0).select(*natural, F.col(key).cast("bigint").alias(key))
+    top = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("__top"))
+    unseen = fresh.alias("f").join(known.alias("k"), all_equal(None, natural, "f", "k"), "left_anti")
+    keyed = attach(number_by_bucket(unseen, natural, "__rn", bucket=bucket, buckets=buckets), top)
+    return known.unionByName(keyed.select(*natural, (F.col("__top") + F.col("__rn")).cast("bigint").alias(key)))
+
+
+def load_dimension(stored: DataFrame, rows: DataFrame, natural: Sequence[str], key: str, *, member: dict[str, object] | None = None) -> DataFrame:
+    """The next state of a dimension: rows that are known keep their key and take the new attributes, new ones get keys
+    behind the last, and stored ones that ``rows`` lacks stay as they are. ``member`` adds the unknown member to a
+    first load; a stored one (key below 1) is kept."""
+    keys = assign_keys(rows, natural, key, stored)
+    fresh = _join_keys(rows, keys, natural).select(*stored.columns)
+    same = all_equal(None, natural, "s", "r")
+    kept = stored.alias("s").filter(F.col(f"s.{key}") > 0).join(rows.alias("r"), same, "left_anti").select(*stored.columns)
+    loaded = fresh.unionByName(kept).unionByName(stored.filter(F.col(key) < 1))
+    return loaded if member is None else with_unknown(loaded.filter(F.col(key) > 0), member)
+
+
 def lookup_key(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]], key: str, out: str, carry: dict[str, str] | None = None) -> DataFrame:
     """Replace natural keys by the dimension's surrogate key; no match gives -1.
 
@@ -117,6 +166,52 @@ def best_row(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> Dat
     return nth_rows(df, keys, order_by)
 
 
+def _rank_key(df: DataFrame, order_by: Sequence[str]) -> Column:
+    """A struct whose smallest value belongs to the first row in ``order_by`` (NULL last ascending, first descending)."""
+    parts, types = [], dict(df.dtypes)
+    for i, name in enumerate(order_by):
+        down, column = name.startswith("-"), name.lstrip("-")
+        value, kind = F.col(column), types[column]
+        if down:
+            if kind == "boolean":
+                value = ~value
+            elif kind == "date":
+                value = -F.unix_date(value)
+            elif kind in ("timestamp", "timestamp_ntz"):
+                value = -F.unix_micros(value.cast("timestamp"))
+            elif kind == "string" or kind.startswith(("array", "struct", "map", "binary")):
+                raise TypeError(f"{column} of type {kind} cannot be ordered downwards in an aggregate")
+            else:
+                value = -value
+        parts += [(F.col(column).isNotNull() if down else F.col(column).isNull()).alias(f"n{i}"), value.alias(f"v{i}")]
+    return F.struct(*parts)
+
+
+def best_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """As ``best_row``, by one aggregate: each task keeps its best row a key, so a key with many rows costs nothing, and no
+    row is sorted. ``order_by`` ends in a unique column."""
+    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*columns), _rank_key(df, order_by)).alias("__best"))
+    return picked.select(*keys, "__best.*")
+
+
+def with_best(
+    rows: DataFrame, details: DataFrame, on: Sequence[tuple[str, str]], default: Column, newest: Sequence[str], columns: dict[str, object], chosen: str
+) -> DataFrame:
+    """Attach the best detail row of each row: the default one, else the newest, else none.
+
+    ``on`` pairs columns of both sides; ``columns`` maps detail columns to what stands in for them without a detail;
+    ``chosen`` says which it was: ``default``, ``newest`` or ``none``. Details without a key belong to no row.
+    """
+    keys = [d for _, d in on]
+    ranked = details.na.drop(subset=keys).withColumn("__default", F.coalesce(default, F.lit(False)))
+    best = best_per_key(ranked, keys, ["-__default", *newest], ["__default", *columns])
+    best = best.select(*[F.col(d).alias(f"__k{i}") for i, d in enumerate(keys)], "__default", *[F.col(x).alias(f"__x{i}") for i, x in enumerate(columns)])
+    joined = rows.join(best, reduce(lambda a, b: a & b, [F.col(r) == F.col(f"__k{i}") for i, (r, _) in enumerate(on)]), "left")
+    how = F.when(F.col("__default").isNull(), "none").when(F.col("__default"), "default").otherwise("newest")
+    values = [F.coalesce(F.col(f"__x{i}"), F.lit(stand_in)).alias(x) for i, (x, stand_in) in enumerate(columns.items())]
+    return joined.select(*rows.columns, *values, how.alias(chosen))
+
+
 def role_view(dim: DataFrame, role: str) -> DataFrame:
     """The calendar under a role name: ``order`` gives order_date_key, order_date, order_year, ..."""
     names = {

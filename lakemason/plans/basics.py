@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from lakemason.functions.columns import day_range, literal, money, months, order_columns, ratio, typed_equals
-from lakemason.operators import aggregates as A, digests as D, setops as S, topk as K
+from lakemason.operators import aggregates as A, bitmaps as B, digests as D, setops as S, topk as K
 from lakemason.operators.ordered import nth_rows, running, with_totals
 from lakemason.plans.registry import Tables, m, query, r
 from lakemason.session import cut
@@ -249,6 +249,19 @@ def _(t: Tables):
         F.sum(money("l_extendedprice")).alias("amount"))
 
 
+@query("agg_distinct_rollup", "int: level year month n_customers row_count; text: day", """
+    WITH o AS (SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, CAST(o_orderdate AS DATE) AS day, o_custkey FROM orders)
+    SELECT 1 AS level, year, month, day, COUNT(DISTINCT o_custkey) AS n_customers, COUNT(*) AS row_count FROM o GROUP BY year, month, day
+    UNION ALL SELECT 2, year, month, NULL, COUNT(DISTINCT o_custkey), COUNT(*) FROM o GROUP BY year, month
+    UNION ALL SELECT 3, year, NULL, NULL, COUNT(DISTINCT o_custkey), COUNT(*) FROM o GROUP BY year
+    UNION ALL SELECT 4, NULL, NULL, NULL, COUNT(DISTINCT o_custkey), COUNT(*) FROM o""")
+def _(t: Tables):
+    """Customers by day, month, year and in all, each rolled up from the stored bitmaps of the days."""
+    dated = t.orders.select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), F.to_date("o_orderdate").alias("day"), "o_custkey")
+    stored = cut(B.id_bitmaps(dated, ["year", "month", "day"], "o_custkey"))
+    return B.distinct_by_levels(stored, [["year", "month", "day"], ["year", "month"], ["year"], []], "n_customers")
+
+
 @query("agg_multi_key", "int: year quarter; text: p_type; float: quantity", f"""
     SELECT EXTRACT(year FROM l_shipdate) AS year, EXTRACT(quarter FROM l_shipdate) AS quarter, p_type,
       SUM({m('l_quantity')}) AS quantity FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3""")

@@ -17,8 +17,10 @@ from lakemason.operators import joins as J, warehouse as W
 from lakemason.operators.merge import upsert_ignore, upsert_replace
 from lakemason.operators.ordered import nth_rows, number_rows
 from lakemason.operators.topk import top_k
+from lakemason.plans.generated import _draw
 from lakemason.plans.registry import Tables, m, query, r
 from lakemason.session import cut
+from lakemason.sources.chains import draw
 
 c = F.col
 LINE_ID = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -161,6 +163,52 @@ def _(t: Tables):
     return W.assign_keys(t.customer, ["c_custkey"], "customer_sk", known)
 
 
+# Hash bucket of a customer, in arithmetic that both sides have.
+_BUCKET_SQL = f"{_draw('bucket', 'c_custkey')} % 64"
+
+
+@query("dw_surrogate_key_bucket", "int: c_custkey customer_sk", f"""
+    WITH known AS (SELECT c_custkey, 1000 + row_number() OVER (ORDER BY {_BUCKET_SQL}, c_custkey) AS customer_sk FROM customer WHERE c_custkey % 3 = 0)
+    SELECT * FROM known UNION ALL SELECT c_custkey, (SELECT MAX(customer_sk) FROM known) + row_number() OVER (ORDER BY {_BUCKET_SQL}, c_custkey)
+    FROM customer WHERE c_custkey % 3 <> 0""")
+def _(t: Tables):
+    """As dw_surrogate_key, numbered by counts of hash buckets instead of a sort of all rows."""
+    bucket = draw(42, "bucket", "c_custkey") % 64
+    third = W.number_by_bucket(t.customer.filter("c_custkey % 3 = 0").select("c_custkey"), ["c_custkey"], "rn", bucket=bucket)
+    known = third.select("c_custkey", (c("rn") + 1000).cast("bigint").alias("customer_sk"))
+    return W.assign_keys_by_bucket(t.customer, ["c_custkey"], "customer_sk", known, bucket=bucket)
+
+
+@query("dw_dim_customer_load", "int: customer_sk c_custkey; text: c_name country address_kind address_day address_choice", """
+    WITH ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_type = 'signup' DESC, ts DESC, event_id) AS rn
+        FROM events WHERE event_type IN ('signup', 'purchase') AND user_id % 7 <> 0),
+      first_keys AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS customer_sk FROM customer WHERE c_custkey % 2 = 0),
+      keys AS (SELECT * FROM first_keys UNION ALL SELECT c_custkey, (SELECT COUNT(*) FROM first_keys) + row_number() OVER (ORDER BY c_custkey)
+        FROM customer WHERE c_custkey % 2 <> 0)
+    SELECT customer_sk, c.c_custkey, c_name, COALESCE(r_name, 'Unknown Country') AS country, COALESCE(event_type, 'no address') AS address_kind,
+      COALESCE(CAST(CAST(ts AS DATE) AS VARCHAR), 'never') AS address_day, CASE WHEN event_type = 'signup' THEN 'default' WHEN event_type IS NOT NULL THEN 'newest'
+      ELSE 'none' END AS address_choice
+    FROM customer c JOIN keys k ON k.c_custkey = c.c_custkey LEFT JOIN ranked ON user_id = c.c_custkey AND rn = 1
+      LEFT JOIN (SELECT * FROM nation WHERE n_nationkey <> 7) ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
+    UNION ALL SELECT -1, NULL, 'Unknown Customer', 'N/A', 'N/A', 'N/A', 'N/A'""")
+def _(t: Tables):
+    """Two loads, half of the customers and then all: keys stay, attributes and best address are taken anew."""
+    details = t.events.filter("event_type IN ('signup', 'purchase') AND user_id % 7 <> 0").select(
+        "user_id", c("event_type").alias("address_kind"), F.to_date("ts").cast("string").alias("address_day"), "ts", "event_id")
+
+    def rows(customers: DataFrame) -> DataFrame:
+        flat = customers.select("c_custkey", "c_name", "country")
+        return W.with_best(flat, details, [("c_custkey", "user_id")], c("address_kind") == "signup", ["-ts", "event_id"],
+                           {"address_kind": "no address", "address_day": "never"}, "address_choice")
+
+    everyone = customer_rows(t)
+    member = {"customer_sk": -1, "c_name": "Unknown Customer", **dict.fromkeys(("country", "address_kind", "address_day", "address_choice"), "N/A")}
+    first = rows(everyone.filter("c_custkey % 2 = 0"))
+    first = W.assign_keys(first, ["c_custkey"], "customer_sk").join(first, "c_custkey").withColumn("c_name", F.lit("as first loaded"))
+    stored = cut(W.with_unknown(first.select("customer_sk", "c_custkey", "c_name", "country", "address_kind", "address_day", "address_choice"), member))
+    return W.load_dimension(stored, rows(everyone), ["c_custkey"], "customer_sk")
+
+
 @query("dw_unknown_member", "int: o_orderkey customer_fk", f"""
     WITH {_CUSTOMER_SQL} SELECT o_orderkey, COALESCE(customer_sk, -1) AS customer_fk FROM orders LEFT JOIN dim_customer
       ON c_custkey = CASE WHEN o_custkey % 10 = 3 THEN -o_custkey WHEN o_custkey % 10 = 4 THEN NULL ELSE o_custkey END""")

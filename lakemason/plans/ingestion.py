@@ -117,8 +117,8 @@ def _(t: Tables):
 def _(t: Tables):
     """Two batches accumulated; the second one is replayed and its ledger entry stops it."""
     schema = summarized(sales(t)).schema
-    table = SnapshotTable(t.spark, scratch(t.spark, "summary"), schema, "year(summary_date)")
     key, measures = ["summary_date", "l_partkey"], ["units", "revenue"]
+    table = SnapshotTable(t.spark, scratch(t.spark, "summary"), schema, "year(summary_date)", key)
     for part, batch_id in ((0, "a"), (1, "b"), (1, "b")):
         batch = summarized(sales(t).filter(c("l_orderkey") % 2 == part))
         table.apply_once(batch_id, batch, lambda now, new: M.upsert_add(now, new, key, measures, latest=["last_at"], check_source=False))
@@ -215,8 +215,8 @@ def _stream_session(t: Tables):
     return session
 
 
-def _run(t: Tables, stream: DataFrame, schema, change, partition_by: str | None = None, **options) -> DataFrame:
-    table = SnapshotTable(t.spark, scratch(t.spark, "stream-table"), schema, partition_by)
+def _run(t: Tables, stream: DataFrame, schema, change, key: list[str], partition_by: str, **options) -> DataFrame:
+    table = SnapshotTable(t.spark, scratch(t.spark, "stream-table"), schema, partition_by, key)
     I.run_batches(stream, table, change, scratch(t.spark, "stream-progress"), **options).awaitTermination()
     return table.read()
 
@@ -227,7 +227,7 @@ def _(t: Tables):
     path, files = _landing(t.lineitem, "l_shipdate")
     stream = I.file_stream(_stream_session(t), path, schema_of("lineitem"), files_per_batch=files).withColumn("summary_date", F.trunc("l_shipdate", "month"))
     change = I.accumulate(["summary_date", "l_partkey"], {"units": money("l_quantity"), "revenue": money("l_extendedprice")}, c("l_shipdate"), "last_at")
-    return _run(t, stream, summarized(sales(t)).schema, change, "summary_date")
+    return _run(t, stream, summarized(sales(t)).schema, change, ["summary_date", "l_partkey"], "summary_date")
 
 
 @query("str_dedupe", "int: event_id user_id; text: event_type", "SELECT event_id, user_id, event_type FROM events")
@@ -252,7 +252,7 @@ def _(t: Tables):
     counts = I.daily_counts(stream, "ts", ["user_id", "event_type"], "1 day")
     key = ["activity_date", "user_id", "event_type"]
     change = lambda now, batch: M.upsert_replace(now, batch, key, ["event_count"], check_source=False)
-    table = _run(t, counts, counts.schema, change, "activity_date", output_mode="update")
+    table = _run(t, counts, counts.schema, change, key, "activity_date", output_mode="update")
     return table.groupBy("activity_date", "user_id").agg(F.sum("event_count").alias("event_count"), F.count(F.lit(1)).alias("event_types"))
 
 
@@ -264,4 +264,4 @@ def _(t: Tables):
     path, files = _landing(log, "at")
     schema = t.spark.createDataFrame([], VERSION_SCHEMA).schema
     stream = I.file_stream(_stream_session(t), path, log.schema, files_per_batch=files)
-    return _run(t, stream, schema, I.version_changes("o_custkey", ["tier"], "at", ["o_orderkey"]), "pmod(xxhash64(o_custkey), 16)")
+    return _run(t, stream, schema, I.version_changes("o_custkey", ["tier"], "at", ["o_orderkey"]), ["o_custkey"], "pmod(xxhash64(o_custkey), 16)")

@@ -7,13 +7,16 @@ folder that no reader looks at.
 
 With ``partition_by`` only the partitions a batch touches are read and rewritten; the manifest
 keeps pointing at the older files of the others. It is an SQL expression over the merge key: a column
-that batches are local in (a date), or a hash bucket as in ``pmod(xxhash64(id), 64)``.
+that batches are local in (a date), or a hash bucket as in ``pmod(xxhash64(id), 64)``. A partition that does
+not follow from the key would store a key twice once it comes with another value, so a table that is
+told its ``key`` refuses such an expression, and changes that merge on a key ask for it (``keyed_by``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -23,10 +26,22 @@ _PART = "__part"
 class SnapshotTable:
     """A versioned table in shared storage, written by one job at a time."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, partition_by: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, partition_by: str | None = None, key: Sequence[str] | None = None):
         self.spark, self.path, self.schema, self.partition_by = spark, path, schema, partition_by
         self._root = spark._jvm.org.apache.hadoop.fs.Path(path)
         self._fs = self._root.getFileSystem(spark._jsc.hadoopConfiguration())
+        if key is not None:
+            self.keyed_by(key)
+
+    def keyed_by(self, key: Sequence[str]) -> None:
+        """Fails unless rows with the same ``key`` always lie in the same partition."""
+        if self.partition_by is None:
+            return
+        only = self.spark.createDataFrame([], StructType([f for f in self.schema if f.name in key]))
+        try:
+            only.select(F.expr(self.partition_by)).schema
+        except AnalysisException as error:
+            raise ValueError(f"partition {self.partition_by!r} reads columns outside of the key {list(key)}") from error
 
     def _child(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")

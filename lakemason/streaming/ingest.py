@@ -73,6 +73,7 @@ def append_files(stream: DataFrame, path: str, checkpoint: str, *, continuous_ev
 
 def upsert_latest(table: SnapshotTable, keys: Sequence[str], order_by: Sequence[str], update: Sequence[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
     """Micro-batch change: newest row per key replaces the stored one."""
+    table.keyed_by(keys)
     return lambda current, batch: upsert_replace(
         current, latest_per_key(batch, keys, order_by), keys, update, check_source=False
     )
