@@ -122,3 +122,12 @@ def json_contains(json: str | Column, fields: dict[str, str | int | bool]) -> Co
     tests = [F.to_json(json_field(json, k, "variant")) == F.lit(dumps(v, ensure_ascii=False)) for k, v in fields.items()]
     tests = [F.coalesce(t, F.lit(False)) for t in tests]
     return reduce(Column.__and__, tests, F.lit(True))
+
+
+def name_id(name: Column) -> Column:
+    """A UUID (version 3 layout) that follows from a name: the same on each run, and on any engine that has MD5."""
+    h = F.md5(name)
+    variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+    return F.concat(
+        F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-3"), F.substring(h, 14, 3), F.lit("-"), variant,
+        F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12))

@@ -23,18 +23,18 @@ UNKNOWN_DATE = {
 HOLIDAYS = {101: "New Year's Day", 704: "Independence Day", 1225: "Christmas Day"}
 #: Fixed value: first month of the fiscal year.
 FISCAL_START = 7
-#: What a calendar measured from data covers in any case.
-LEAST_DAYS = ("1995-01-01", "2001-12-31")
+#: The one day of a calendar over tables without any date.
+NO_DATE = "1995-01-01"
 
 
 def date_bounds(*sources: tuple[DataFrame, str]) -> tuple[str, str]:
     """First and last day of the calendar that covers every date of the ``(table, column)`` pairs, measured at once.
 
-    It never covers less than ``LEAST_DAYS``.
+    Tables without any date give one day, ``NO_DATE``.
     """
     dates = reduce(DataFrame.unionAll, [df.agg(F.to_date(F.min(at)).alias("first"), F.to_date(F.max(at)).alias("last")) for df, at in sources])
     row = dates.agg(F.min("first").cast("string").alias("first"), F.max("last").cast("string").alias("last")).first()
-    return min(row["first"] or LEAST_DAYS[0], LEAST_DAYS[0]), max(row["last"] or LEAST_DAYS[1], LEAST_DAYS[1])
+    return row["first"] or NO_DATE, row["last"] or NO_DATE
 
 
 def dim_date(spark: SparkSession, start: str, stop: str, *, label_year: str = "start") -> DataFrame:

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from lakemason.functions.columns import day_range, literal, money, months, order_columns, ratio, typed_equals
+from lakemason.functions.columns import day_range, literal, money, months, name_id, order_columns, ratio, typed_equals
 from lakemason.operators import aggregates as A, bitmaps as B, digests as D, setops as S, topk as K
 from lakemason.operators.ordered import nth_rows, running, with_totals
 from lakemason.plans.registry import Tables, m, query, r
@@ -448,6 +448,28 @@ def _(t: Tables):
     return t.orders.limit(10)
 
 
+@query("limit_any", "int: row_count known_rows", """
+    SELECT least(10, COUNT(*)) AS row_count, least(10, COUNT(*)) AS known_rows FROM orders""")
+def _(t: Tables):
+    """Which rows a LIMIT without an order gives is open; that they are so many, and rows of the table, is not."""
+    some = cut(t.orders.limit(10))
+    known = some.join(t.orders.select(*some.columns), some.columns, "left_semi").agg(F.count(F.lit(1)).alias("known_rows"))
+    return some.agg(F.count(F.lit(1)).alias("row_count")).select("row_count", known.scalar().alias("known_rows"))
+
+
+@query("fn_text", "text: padded trimmed cut_left cut_right name_id; int: p_partkey", """
+    SELECT lpad(CAST(p_partkey AS VARCHAR), 8, '0') || rpad(p_brand, 12, '.') AS padded, trim('  ' || p_type || ' ') AS trimmed,
+      ltrim(p_name, 'part ') AS cut_left, rtrim(p_name || '---', '-') AS cut_right, p_partkey,
+      h[1:8] || '-' || h[9:12] || '-3' || h[14:16] || '-' || translate(h[17], '0123456789abcdef', '89ab89ab89ab89ab') || h[18:20] || '-' || h[21:32] AS name_id
+    FROM (SELECT *, md5('part:' || p_partkey) AS h FROM part)""")
+def _(t: Tables):
+    """Padding, trimming, and identifiers named after a key instead of drawn."""
+    return t.part.select(
+        "p_partkey", F.concat(F.lpad(c("p_partkey").cast("string"), 8, "0"), F.rpad("p_brand", 12, ".")).alias("padded"),
+        F.trim(F.concat(F.lit("  "), "p_type", F.lit(" "))).alias("trimmed"), F.ltrim("p_name", F.lit("part ")).alias("cut_left"),
+        F.rtrim(F.concat("p_name", F.lit("---")), F.lit("-")).alias("cut_right"), name_id(F.concat(F.lit("part:"), c("p_partkey").cast("string"))).alias("name_id"))
+
+
 @query("topk", "int: o_orderkey; float: o_totalprice",
        "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")
 def _(t: Tables):

@@ -33,12 +33,12 @@ _DATE_SQL = """dim_date AS (SELECT -1 AS date_key, DATE '1900-01-01' AS calendar
     'Unknown' AS fiscal_quarter, FALSE AS is_holiday, 'Not Applicable' AS holiday_name
   UNION ALL SELECT CAST(strftime(d, '%Y%m%d') AS INT), CAST(d AS DATE), year(d), quarter(d), 'Q' || quarter(d), month(d),
     monthname(d), LEFT(monthname(d), 3), strftime(d, '%Y-%m'), day(d), isodow(d), dayname(d), isodow(d) >= 6, week(d),
-    year(d) + CASE WHEN month(d) >= 7 THEN 1 ELSE 0 END,
-    'FY' || RIGHT(CAST(year(d) - CASE WHEN month(d) >= 7 THEN 0 ELSE 1 END AS VARCHAR), 2) || '-Q' || CASE
-      WHEN month(d) IN (7,8,9) THEN 1 WHEN month(d) IN (10,11,12) THEN 2 WHEN month(d) IN (1,2,3) THEN 3 ELSE 4 END,
+    (year(d) * 12 + month(d) + 5) // 12,
+    'FY' || RIGHT(CAST((year(d) * 12 + month(d) - 7) // 12 AS VARCHAR), 2) || '-Q' || ((month(d) + 5) % 12 // 3 + 1),
     strftime(d, '%m%d') IN ('0101','0704','1225'),
     CASE strftime(d, '%m%d') WHEN '0101' THEN 'New Year''s Day' WHEN '0704' THEN 'Independence Day' WHEN '1225' THEN 'Christmas Day' END
-  FROM (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS d))"""
+  FROM (SELECT unnest(generate_series(CAST(CAST(MIN(lo) AS DATE) AS TIMESTAMP), CAST(CAST(MAX(hi) AS DATE) AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM (
+    SELECT MIN(o_orderdate) AS lo, MAX(o_orderdate) AS hi FROM orders UNION ALL SELECT MIN(l_shipdate), MAX(l_shipdate) FROM lineitem)))"""
 _CUSTOMER_SQL = """dim_customer AS (SELECT row_number() OVER (ORDER BY c_custkey) AS customer_sk, c_custkey, c_name,
     c_mktsegment, COALESCE(n_name, 'Unknown City') AS city, COALESCE(r_name, 'Unknown Country') AS country FROM customer
     LEFT JOIN (SELECT * FROM nation WHERE n_nationkey <> 7) ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
@@ -114,7 +114,7 @@ def dim_product(t: Tables) -> DataFrame:
 @query("dw_dim_date", "int: date_key year quarter month day_of_month day_of_week iso_week fiscal_year; "
        "text: calendar_date quarter_name month_name month_short year_month day_name fiscal_quarter holiday_name; bool: is_weekend is_holiday; "
        "int: orders_count", f"""WITH {_DATE_SQL} SELECT dim_date.*, COALESCE(n, 0) AS orders_count FROM dim_date LEFT JOIN (
-       SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INT) AS k, COUNT(*) AS n FROM orders GROUP BY 1) ON k = date_key""")
+       SELECT COALESCE(CAST(strftime(o_orderdate, '%Y%m%d') AS INT), -1) AS k, COUNT(*) AS n FROM orders GROUP BY 1) ON k = date_key""")
 def _(t: Tables):
     """Every calendar attribute, with the orders of each day."""
     used = t.orders.groupBy(date_key("o_orderdate").alias("date_key")).agg(F.count(F.lit(1)).alias("orders_count"))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemason import plans
+from tests.oracle import compare, connect
 
 
 @pytest.fixture(scope="module")
@@ -47,3 +48,16 @@ def test_roles_of_lines_keep_the_day(spark, shifted):
     folder, keys, _ = shifted
     got = {(r.ordered_on, r.shipped_on) for r in plans.queries()["join_role"](spark, folder).filter(F.col("l_orderkey") == keys[1]).collect()}
     assert got == {("2010-05-05", "2011-01-02")}
+
+
+@pytest.mark.parametrize("name", ["dw_dim_date", "dw_role_views", "dw_fact_sales", "dw_bi_fiscal"])
+def test_twins_follow_the_same_days(spark, shifted, name):
+    folder, _, _ = shifted
+    assert compare(plans.queries()[name](spark, folder), connect(folder), plans.oracle_sql()[name]) is None
+
+
+def test_tables_without_dates_have_one_day(spark, sf_dir):
+    from lakemason.operators import warehouse as W
+
+    none = spark.read.parquet(f"{sf_dir}/orders.parquet").limit(0)
+    assert W.date_bounds((none, "o_orderdate")) == (W.NO_DATE, W.NO_DATE)
