@@ -221,7 +221,7 @@ def _(t: Tables):
 @query("dw_role_views", "int: o_orderkey order_date_key; text: order_date order_month order_quarter order_year_month; bool: order_is_weekend order_is_holiday", f"""
     WITH {_DATE_SQL} SELECT o_orderkey, date_key AS order_date_key, calendar_date AS order_date, month_name AS order_month,
       quarter_name AS order_quarter, year_month AS order_year_month, is_weekend AS order_is_weekend, is_holiday AS order_is_holiday
-    FROM orders JOIN dim_date ON date_key = CAST(strftime(o_orderdate, '%Y%m%d') AS INT)""")
+    FROM orders JOIN dim_date ON date_key = COALESCE(CAST(strftime(o_orderdate, '%Y%m%d') AS INT), -1)""")
 def _(t: Tables):
     """Every order; one without a date is shown with the unknown member."""
     view = W.role_view(calendar(t), "order")

@@ -16,7 +16,7 @@ from lakemason.plans.registry import Tables, m, query
 from lakemason.sources.sinks import scratch
 from lakemason.sources.snapshots import SnapshotTable
 from lakemason.sources.tables import schema_of
-from lakemason.streaming import ingest as I
+from lakemason.streaming import ingest as I, stateful as V
 
 c = F.col
 LOADED = dt.datetime(2024, 1, 1)
@@ -265,3 +265,16 @@ def _(t: Tables):
     schema = t.spark.createDataFrame([], VERSION_SCHEMA).schema
     stream = I.file_stream(_stream_session(t), path, log.schema, files_per_batch=files)
     return _run(t, stream, schema, I.version_changes("o_custkey", ["tier"], "at", ["o_orderkey"]), ["o_custkey"], "pmod(xxhash64(o_custkey), 16)")
+
+
+@query("str_scd2_state", _VERSION, _ALL_VERSIONS)
+def _(t: Tables):
+    """The same history with each customer's open version in the state store: batches append, nothing stored is read."""
+    log = t.orders.select("o_custkey", c("o_orderpriority").alias("tier"), c("o_orderdate").alias("at"), "o_orderkey")
+    path, files = _landing(log, "at")
+    session = _stream_session(t)
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", V.PROVIDER)
+    told = V.version_stream(I.file_stream(session, path, log.schema, files_per_batch=files), "o_custkey", ["tier"], "at", ["o_orderkey"])
+    out = scratch(t.spark, "versions")
+    V.run_versions(told, out, scratch(t.spark, "stream-progress")).awaitTermination()
+    return V.read_versions(t.spark, out, told.schema)
