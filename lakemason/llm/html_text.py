@@ -60,7 +60,10 @@ BLOCKS = set(
 #: A new one of these ends an open one, within the element named.
 IMPLIED = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",)}
 #: Share of a name's tags taken to lie inside content before any page is seen.
-PRIOR = {name: 0.9 for name in "p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption ul ol li dl dt dd table tr td th".split()}
+PRIOR = {name: 0.99 for name in "header hgroup p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption ul ol li dl dt dd table tr td th".split()}
+
+#: Kind of the tags within boilerplate, whose own tags stand for them, and of scripts and styles.
+INNER = ("-", "-")
 
 _OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
 _END = re.compile(r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>""")
@@ -160,7 +163,7 @@ def parse(source: str) -> Page:
                     kind = (f"/{stack[depth][1][0]}", f"/{stack[depth][1][1]}")
                     del stack[depth:]
                     top = stack[-1] if stack else ("", ("", ""), False, 0)
-            page.add(0, kind, None, block, top[2], top[3])
+            page.add(0, INNER if top[2] or name in RAW else kind, None, block, top[2], top[3])
             continue
         attributes = {k.lower(): v.strip("\"'").lower() for k, v in _NAMED.findall(source, tag.end(), at)} if at - tag.end() > 1 else {}
         if breaks and stack:
@@ -178,7 +181,7 @@ def parse(source: str) -> Page:
         classes = " ".join(sorted(set(f"{attributes.get('class', '')} {attributes.get('id', '')}".split())))
         sign = "-" if drops else ""
         kind = (f"{sign}{name}", f"{sign}{name} {classes}" if classes else f"{sign}{name}")
-        page.add(0, kind, None, block, drops, top[3])
+        page.add(0, INNER if top[2] or name in RAW else kind, None, block, drops, top[3])
         if name == "br":
             page.add(0, ("", ""), " ", block, drops, top[3])
         if name in RAW:
@@ -226,7 +229,7 @@ class Weights:
     def _share(self, word: bool, kind: tuple[str, str]) -> float:
         inside, outside = (self.word_in, self.word_out) if word else (self.tag_in, self.tag_out)
         name = kind[0].lstrip("/")
-        share = 0.02 if name.startswith("-") else PRIOR.get(name, 0.9 if name not in BLOCKS and not word else 0.7)
+        share = (0.02 if word else 0.5) if name.startswith("-") else PRIOR.get(name, 0.98 if name not in BLOCKS else 0.9)
         for key in (f"={kind[0]}", kind[1]):
             slot = _slot(key)
             share = (inside[slot] + LEAN * share) / (inside[slot] + outside[slot] + LEAN)
@@ -243,11 +246,18 @@ class Weights:
 
 
 def token_scores(page: Page, weights: Weights) -> list[float]:
-    """What each token adds to a region: words positive, tags negative, white space nothing."""
+    """What each token adds to a region: words positive, tags negative, white space nothing. Tags of boilerplate that
+    lies in a content element cost no more than any tag: it is left out of the text anyway."""
     share = weights.share
+
+    def cost(kind: tuple[str, str], content: int) -> float:
+        if kind is INNER or content and kind[0].startswith(("-", "/-")):
+            return -STEP
+        return -STEP - CROSS * (1 - share(False, kind))
+
     return [
-        words * share(True, kind) if words else 0.0 if text is not None else -STEP - CROSS * (1 - share(False, kind))
-        for words, kind, text in zip(page.words, page.kinds, page.texts)
+        words * share(True, kind) if words else 0.0 if text is not None else cost(kind, content)
+        for words, kind, text, content in zip(page.words, page.kinds, page.texts, page.content)
     ]
 
 
@@ -295,7 +305,7 @@ def fit(pages: DataFrame, source: str = "html") -> Weights:
                     if content is None:
                         continue
                     for words, kind, said, dropped, owner in zip(page.words, page.kinds, page.texts, page.dropped, page.content):
-                        if said is None or words:
+                        if (said is None or words) and kind is not INNER:
                             row = (0 if said is not None else 2) + (owner != content or dropped)
                             for key in (f"={kind[0]}", kind[1]):
                                 sums[row, _slot(key)] += words or 1
