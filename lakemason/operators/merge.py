@@ -69,7 +69,10 @@ def merge(
     *,
     check_source: bool = True,
 ) -> DataFrame:
-    """SQL MERGE: the first clause whose condition holds decides what happens to a row."""
+    """SQL MERGE: the first clause whose condition holds decides what happens to a row.
+
+    Keys are compared with ``=``, as in SQL: a row whose key is NULL matches none, so it is inserted again by each replay.
+    """
     if check_source:
         source = unique_source(source, on)
     t = target.withColumn("__t", F.lit(True)).alias("target")

@@ -29,7 +29,9 @@ COUNT_ERROR = 3.5 / 16_384
 #: The label of rows without a partition value.
 NO_LABEL = "(null)"
 
-_STORED = "row_count bigint, null_count bigint, width bigint, distinct_sketch binary, quantile_sketch binary, common_sketch struct<sketch: binary, maxItemsTracked: int, itemDataType: string, itemDataTypeDDL: string>"
+_STORED = (
+    "row_count bigint, null_count bigint, width bigint, distinct_sketch binary, quantile_sketch binary, "
+    "common_sketch struct<sketch: binary, maxItemsTracked: int, itemDataType: string, itemDataTypeDDL: string>")
 
 
 def _number(df: DataFrame, column: str) -> Column | None:

@@ -232,7 +232,8 @@ def violations(orders: DataFrame, items: DataFrame, sent: DataFrame, events: Dat
         checked("event lies in its shipment", events, (F.col("happened_at") < F.col("shipped_at")) | (F.col("happened_at") > F.col("delivered_at")) | (arrived & ~F.col("happened_at").eqNullSafe(F.col("delivered_at"))), owner),
     ]
     twice = sent.groupBy("tracking_no").agg(F.count(F.lit(1)).alias("n"))
-    parts.append(twice.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.count_if(F.col("n") > 1).alias("violations")).select(F.lit("tracking number is unique").alias("check_name"), "*"))
+    twice = twice.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.count_if(F.col("n") > 1).alias("violations"))
+    parts.append(twice.select(F.lit("tracking number is unique").alias("check_name"), "*"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionAll(part)

@@ -88,3 +88,13 @@ def test_a_partition_that_does_not_follow_from_the_key_is_refused(spark):
     with pytest.raises(ValueError, match="outside of the key"):
         upsert_latest(SnapshotTable(spark, scratch(spark, "t"), schema, "concat(d, k)"), ["k"], ["v"], ["v"])
     SnapshotTable(spark, scratch(spark, "t"), schema, "d", ["k", "d"])
+
+
+def test_a_null_key_matches_nothing(spark):
+    from lakemason.operators.merge import upsert_replace
+
+    state = spark.createDataFrame([(1, "a")], "k int, v string")
+    batch = spark.createDataFrame([(1, "b"), (None, "n")], "k int, v string")
+    for expected in ([(1, "b"), (None, "n")], [(1, "b"), (None, "n"), (None, "n")]):
+        state = upsert_replace(state, batch, ["k"], ["v"])
+        assert sorted(map(tuple, state.collect()), key=str) == expected

@@ -5,7 +5,6 @@ import os
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from lakemason.operators import scd as D
 from lakemason.session import scratch
