@@ -9,26 +9,28 @@ of what is left are compared in double precision. A query that finds fewer than
 radius there, so k rows are returned wherever there are k.
 
 The rotation and the radius (the distance within which ``target`` of the true neighbours in the sample lie) are
-fitted on at most ``sample`` vectors, chosen by a hash of the id; every row is indexed. Vectors of another length
-than the most common one in the sample take no part. See ``vectors.usable`` for nulls, zeros and repeated ids.
+fitted on at most ``sample`` vectors, chosen by a hash; every row is indexed. Only vectors of one length are compared.
+Each of the ``FITTED`` commonest lengths has a code of its own, fitted on its part of the sample; vectors of rarer lengths are
+compared with all others of their length. See ``vectors.usable`` for nulls, zeros and repeated ids.
 """
 
 from __future__ import annotations
 
 import functools
 import itertools
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lakemason.llm import vectors as V
 from lakemason.session import cut
 
 BITS, PARTS, WIDTH = 64, 4, 16
+#: Vector lengths that have a fitted code.
+FITTED = 16
 
 
 @dataclass
@@ -104,31 +106,40 @@ class Index:
         return found[np.bitwise_count(self.codes[found] ^ code) <= radius]
 
 
+def _nearest(index: Index, code: np.uint64, radius: int, least: int) -> np.ndarray:
+    """All codes within the first radius, from the given one on, that holds ``least`` codes."""
+    at = index.within(code, radius)
+    while len(at) < least and radius < BITS:
+        radius = min(BITS, radius + PARTS)
+        at = index.within(code, radius)
+    return at
+
+
 def search(df: DataFrame, queries, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", sample: int = 8192,
            target: float = 0.985, block_rows: int = 16_384) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the k largest inner products found for each row that satisfies
     ``queries`` (a condition on ``vec_id``), among all other rows."""
     rows = cut(V.usable(df, vec_id, vector, lambda x: x, zero=False))
-    chosen = [np.array(r.v) for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()]
-    dim = Counter(map(len, chosen)).most_common(1)[0][0] if chosen else 0
-    rows = rows.filter(F.size("v") == dim)
+    length = F.size("v")
+    common = rows.groupBy(length.alias("dim")).count().orderBy(F.desc("count"), "dim").limit(FITTED).collect()
+    dims = [r.dim for r in common]
+    place = F.row_number().over(Window.partitionBy(length).orderBy(F.xxhash64("vec_id", "v"), "vec_id", "v"))
+    part = rows.filter(length.isin(dims)).withColumn("place", place).filter(F.col("place") <= max(1, sample // max(1, len(dims))))
+    chosen: dict[int, list[np.ndarray]] = {}
+    for r in part.orderBy("place").select("v").collect():
+        chosen.setdefault(len(r.v), []).append(np.array(r.v))
+    fitted = {dim: learn(np.stack(some), k, target) for dim, some in chosen.items()}
     found_type = "query_id bigint, vec_id bigint, score double"
-    if not chosen:
-        return df.sparkSession.createDataFrame([], found_type.replace(", vec_id", ", rank int, vec_id"))
-    codes = learn(np.stack([v for v in chosen if len(v) == dim]), k, target)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, index = None, None
+        held, codes, index = None, None, None
         for ids, vectors, (query_ids, query_vectors) in V.blocks_of(batches, []):
             if held is not ids:
-                held, index = ids, Index(codes.of(vectors))
+                held, codes = ids, fitted.get(vectors.shape[1])
+                index = Index(codes.of(vectors)) if codes else None
             out = [], [], []
-            for q, x, code in zip(query_ids, query_vectors, codes.of(query_vectors)):
-                radius = codes.radius
-                at = index.within(code, radius)
-                while len(at) <= k and radius < BITS:
-                    radius = min(BITS, radius + PARTS)
-                    at = index.within(code, radius)
+            for q, x, code in zip(query_ids, query_vectors, codes.of(query_vectors) if codes else query_ids):
+                at = _nearest(index, code, codes.radius, k + (ids == q).sum()) if codes else np.arange(len(ids))
                 at = at[ids[at] != q]
                 scores = (vectors[at] * x).sum(axis=1)
                 top = V.best(ids[at], scores, k)

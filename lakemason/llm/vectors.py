@@ -11,22 +11,23 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 def usable(df: DataFrame, vec_id: str, vector: str, each: Callable[[Column], Column], zero: bool) -> DataFrame:
     """``vec_id, v`` with ``v`` an array of doubles. Rows with a null id, a null or empty vector, a null or
-    non-finite component, or (unless ``zero``) only zeros take no part. Of rows that repeat an id the
-    smallest vector counts."""
+    non-finite component, or (unless ``zero``) only zeros take no part. Rows equal in id and vector count once;
+    rows that share an id only are rows of their own: each is asked and offered, but never to its own id, and
+    what the rows of one id find is ranked together."""
     v = F.transform(F.col(vector).cast("array<double>"), each)
     rows = df.select(F.col(vec_id).cast("bigint").alias("vec_id"), v.alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.filter("vec_id IS NOT NULL AND size(v) > 0").filter(~bad)
     if not zero:
         rows = rows.filter(F.exists("v", lambda x: x != 0))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.distinct()
 
 
 def visits(rows: DataFrame, queries: DataFrame, block_rows: int, n: int) -> DataFrame:
-    """Rows dealt over blocks of about ``block_rows`` by a hash of the id, and every query (with its extra
+    """Rows dealt over blocks of about ``block_rows`` by a hash of id and vector, and every query (with its extra
     columns) sent to each block; blocks hold vectors of one length, rows before queries."""
     blocks = max(1, -(-n // block_rows))
-    filed = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).withColumn("role", F.lit(0))
+    filed = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int")).withColumn("role", F.lit(0))
     sent = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("role", F.lit(1))
     both = filed.unionByName(sent, allowMissingColumns=True).withColumn("dim", F.size("v"))
     return both.repartition(F.col("dim"), F.col("block")).sortWithinPartitions("dim", "block", "role", "vec_id")

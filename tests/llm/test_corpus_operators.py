@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -116,6 +117,36 @@ def test_searches_of_few_or_no_rows(spark):
     assert multi_index.search(none, "vec_id % 20 = 0").count() == uniform_threshold.top_k(none, "vec_id % 50 = 0").count() == 0
 
 
+def test_searches_keep_rows_that_share_an_id_and_vectors_of_any_length(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.normal(size=3).astype(np.float32).tolist(), 0) for i in range(100)]
+    rows += [(i, rng.normal(size=2).astype(np.float32).tolist(), 0) for i in range(100, 201, 20)]
+    rows += [(50, [1.0, 1.0, 0.0], 0), (50, [3.0, 1.0, 0.0], 0), (40, [9.0, 9.0, 9.0], 0), (40, [9.0, 9.0, 9.0], 0)]
+    distinct = list({(i, tuple(v)): None for i, v, _ in rows})
+
+    def best(scale, k, step):
+        whole = [(i, np.floor(256 * np.array(v)) if scale else np.array(v)) for i, v in distinct]
+        want = []
+        for q in sorted({i for i, _ in whole if i % step == 0}):
+            pairs = [(-float(a @ b), j) for i, a in whole if i == q for j, b in whole if j != q and len(a) == len(b)]
+            want += [(q, rank, j, -s) for rank, (s, j) in enumerate(sorted(pairs)[:k], 1)]
+        return want
+
+    frame = vectors(spark, rows)
+    assert [tuple(r) for r in uniform_threshold.top_k(frame, "vec_id % 50 = 0", block_rows=16).orderBy("query_id", "rank").collect()] == best(True, 5, 50)
+    found = [tuple(r) for r in multi_index.search(frame, "vec_id % 20 = 0", k=5, block_rows=32).orderBy("query_id", "rank").collect()]
+    want = best(False, 5, 20)
+    assert {q for q, *_ in found} == {q for q, *_ in want} and len(found) == len(want)
+    near = {(q, j) for q, _, j, _ in found} & {(q, j) for q, _, j, _ in want}
+    assert len(near) >= 0.9 * len({(q, j) for q, _, j, _ in want})
+    threes = [r for r in rows if len(r[1]) == 3]
+    connection = duckdb.connect()
+    vectors(spark, threes).write.parquet(f"{tmp_path}/v")
+    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/v/*.parquet'")
+    told = sorted(connection.execute(SQL["op10_uniform_threshold"]).fetchall())
+    assert [tuple(r) for r in uniform_threshold.top_k(vectors(spark, threes), "vec_id % 50 = 0").orderBy("query_id", "rank").collect()] == told
+
+
 @pytest.mark.parametrize("stretch", [1.0, 1e9])
 def test_uniform_threshold_is_exact_with_ties(spark, stretch):
     rows = [(i, v and [x and x * stretch for x in v], l) for i, v, l in odd_vectors(np.random.default_rng(4), 300)]
