@@ -6,6 +6,8 @@ import gzip
 import hashlib
 import random
 import re
+import resource
+import time
 import urllib.parse
 import zlib
 
@@ -116,10 +118,38 @@ def test_nested_secrets_are_found_and_mapped(layers):
     assert any(start <= a < b <= end for a, b in spans), spans
 
 
-def test_cycles_end_and_bombs_are_reported():
+def test_cycles_end_and_work_is_bounded(monkeypatch):
     assert secret_scan.find("%25" * 50 + "%2525")[1] == []
-    bomb = base64.b64encode(gzip.compress(b"0" * (secret_scan.MAX_EXPANDED + 10))).decode()
-    assert [k for k, _, _ in secret_scan.find(f"x {bomb}")[1]].count(3) == 1
+    monkeypatch.setattr(secret_scan, "MAX_WORK", 10_000)
+    monkeypatch.setattr(secret_scan, "WORK_PER_CHARACTER", 1)
+    monkeypatch.setattr(secret_scan, "WINDOW", 4096)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 64)
+    monkeypatch.setattr(secret_scan, "PIECE", 1000)
+    bomb = base64.b64encode(gzip.compress(b"." * 100_000)).decode()
+    assert {k for k, _, _ in secret_scan.find(f"x {bomb}")[1]} == {3}
+    late = base64.b64encode(gzip.compress(b"." * 8500 + INNER.encode())).decode()
+    assert [k for k, _, _ in secret_scan.find(f"x {late}")[1]] == [0]
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress])
+def test_large_streams_are_scanned_in_windows(pack):
+    data = b"0 " * (secret_scan.WINDOW - len(INNER) // 4) + INNER.encode() + b" 1" * (1 << 22)
+    run = base64.b64encode(pack(data)).decode()
+    began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert (0, 4, 4 + len(run)) in secret_scan.find(f"see {run} end")[1]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - began < 500 << 10
+
+
+@pytest.mark.parametrize("chain", ["%" + "25" * 50_000 + "70assword=hunter2hunter2", "\\" + "u005c" * 20_000 + "u0070assword=hunter2hunter2", "&" + "#38;" * 25_000 + "#112;assword=hunter2hunter2"])
+def test_long_chains_of_escapes_end_in_few_steps(chain):
+    began = time.monotonic()
+    assert any(k == 0 and b == len(chain) for k, _, b in secret_scan.find(chain)[1])
+    assert time.monotonic() - began < 5
+
+
+def test_repeating_runs_are_decoded_in_part():
+    run = base64.b64encode(b"f" * 3_000_000).decode()
+    assert secret_scan.find(f"see {run}")[1] == [(2, 4, 4 + len(run))]
 
 
 def wrapped(data, width=20, by="\n"):
