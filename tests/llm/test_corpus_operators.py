@@ -139,7 +139,7 @@ def test_searches_keep_rows_that_share_an_id_and_vectors_of_any_length(spark, tm
     assert {q for q, *_ in found} == {q for q, *_ in want} and len(found) == len(want)
     near = {(q, j) for q, _, j, _ in found} & {(q, j) for q, _, j, _ in want}
     assert len(near) >= 0.9 * len({(q, j) for q, _, j, _ in want})
-    threes = [r for r in rows if len(r[1]) == 3]
+    threes = [(i, list(v), 0) for i, v in distinct if len(v) == 3]  # the SQL keeps rows equal in id and vector, the operator counts them once
     connection = duckdb.connect()
     vectors(spark, threes).write.parquet(f"{tmp_path}/v")
     connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/v/*.parquet'")
