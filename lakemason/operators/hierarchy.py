@@ -11,11 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakemason.session import cut
 
+#: Pairs of a node and a member that one task of ``rolled_up_distinct`` takes.
+PAIRS_PER_TASK = 1 << 20
+
 
 def _levels(start: DataFrame, step: Callable[[DataFrame], DataFrame], max_depth: int | None = None) -> DataFrame:
     """Union of ``start``, ``step(start)``, ``step(step(start))``, ... until a level is empty."""
@@ -153,11 +157,21 @@ def rolled_up(pairs: DataFrame, direct: DataFrame, key: str, measures: dict[str,
     return joined.agg(*[F.sum(m).alias(out) for m, out in measures.items()])
 
 
-def rolled_up_distinct(pairs: DataFrame, rows: DataFrame, key: str, member: str, out: str) -> DataFrame:
-    """Distinct ``member`` values over all descendants, counted once per ancestor."""
-    members = rows.select(F.col(key).alias("__k"), member).distinct()
-    joined = pairs.join(members, F.col("descendant_id") == F.col("__k"))
-    return joined.groupBy(F.col("ancestor_id").alias(key)).agg(F.count_distinct(member).alias(out))
+def rolled_up_distinct(pairs: DataFrame, rows: DataFrame, key: str, member: str, out: str, *, pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+    """Distinct ``member`` values over all descendants, counted once per ancestor.
+
+    The rows of each node, counted beforehand, tell how many pairs of ancestor and member there are at most. They are dealt to
+    so many tasks that each takes about ``pairs_per_task``, and only then made distinct: what a task holds
+    does not grow with the rows, the nodes or the depth.
+    """
+    rows = rows.select(F.col(key).alias("__k"), member)
+    below = F.col("descendant_id") == F.col("__k")
+    sizes = rows.groupBy("__k").agg(F.count(F.lit(1)).alias("__n"))
+    most = sizes.join(pairs, below, "left").agg(F.sum("__n").alias("n")).first()["n"] or 0
+    tasks = max(1, ceil(most / pairs_per_task))
+    members = rows.repartition(tasks, "__k", member).distinct()
+    reached = pairs.join(members, below).select(F.col("ancestor_id").alias(key), member)
+    return reached.repartition(tasks, key, member).distinct().groupBy(key).agg(F.count(member).alias(out))
 
 
 def gap_filled(calendar: DataFrame, facts: DataFrame, day: str, measures: dict[str, object]) -> DataFrame:

@@ -1,6 +1,7 @@
 """Doubling walks and strong components against plain Python."""
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -164,3 +165,23 @@ def test_marks_equal_the_walk_that_lists_paths(spark):
     inside = C.closing_edges(nodes, "parent", "id")
     assert inside.columns == nodes.columns
     assert C.strong_components(inside, "parent", "id").count() == len(marked)
+
+
+def test_distinct_rollup_deals_its_pairs_to_tasks_of_a_bounded_size(spark):
+    parents = {0: None, 1: 0, 2: 0, 3: 1, 4: 1, 5: 2}
+    nodes = spark.createDataFrame([(str(n), None if p is None else str(p)) for n, p in parents.items()], "n string, p string")
+    # members that several leaves share, repeated rows, NULL members, a node without rows and rows without a node
+    rows = [(str(3 + i % 2), i % 150) for i in range(400)] * 2 + [("2", None), ("9", 1), (None, 2)]
+    table = spark.createDataFrame(rows, "n string, m int")
+    got = H.rolled_up_distinct(H.closure(nodes, "n", "p", is_tree=True), table, "n", "m", "found", pairs_per_task=100)
+
+    def above(n):
+        return [] if n is None else [n, *above(parents[n])]
+
+    want = {}
+    for n, member in rows:
+        for up in above(int(n)) if n and int(n) in parents else []:
+            want.setdefault(str(up), set()).update([] if member is None else [member])
+    assert {r.n: r.found for r in got.collect()} == {n: len(members) for n, members in want.items()}
+    # 3 levels above each of 800 rows, 2 above another; two rows without a node: 2,404 in tasks of 100
+    assert re.search(r"hashpartitioning\(n#\d+, m#\d+, 25\), REPARTITION_BY_NUM", got._jdf.queryExecution().executedPlan().toString())
