@@ -5,6 +5,8 @@ import os
 import random
 
 import pytest
+from pyspark.sql import Row, functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 from lakemason.operators import scd as D
 from lakemason.session import scratch
@@ -78,3 +80,55 @@ def test_batches_do_not_read_what_is_stored(spark, session):
     new = [f"{folder}/{n}" for n in os.listdir(folder) if n.startswith("part-") and os.path.getsize(f"{folder}/{n}") > 20]
     rows = spark.read.schema(schema).parquet(*new).orderBy("kind").collect()
     assert [(r.kind, r.tier, r.valid_from, r.valid_to) for r in rows] == [("closed", "a", moment(1), moment(2)), ("opened", "b", moment(2), None)]
+
+
+class Store:
+    """A value state that counts how often it is asked."""
+
+    def __init__(self):
+        self.value, self.calls = None, 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+
+def test_the_state_is_asked_once_a_bucket_and_batch():
+    schema = _parse_datatype_string(CHANGE)
+    processor, store = V.OpenVersion("k", ["tier"], "at", ["seq"], schema), Store()
+    processor.init(store)
+    for n, kinds in enumerate((["opened"], ["closed", "opened"])):
+        rows = [Row(k=k, tier="ab"[n], at=moment(n), seq=k) for k in range(300)]
+        told = list(processor.handleInputRows((7,), iter(rows), None))
+        assert sorted((r.kind, r.k) for r in told) == sorted((kind, k) for k in range(300) for kind in kinds)
+        assert store.calls == 2 * (n + 1)
+    # a batch with one key of the bucket leaves the others as they are
+    told = list(processor.handleInputRows((7,), iter([Row(k=5, tier="a", at=moment(9), seq=1)]), None))
+    assert [(r.kind, r.tier) for r in told] == [("closed", "b"), ("opened", "a")]
+    assert sorted(store.value[0]) == [(k, *(("a", moment(9)) if k == 5 else ("b", moment(1)))) for k in range(300)]
+
+
+@pytest.mark.parametrize("kind", ["string", "double", "binary", "array<int>"])
+def test_any_key_that_groups_has_its_history(spark, session, kind):
+    keys = {"string": ["x", "", "1"], "double": ["NaN", "0.0", "-0.0", "NaN"], "binary": ["a", "b", "a"],
+            "array<int>": ["[1,2]", "[]", "[1,2]"]}[kind]
+    parse = F.from_json("text", kind) if "<" in kind else F.col("text").cast(kind)
+    path, out, checkpoint = (scratch(spark, n) for n in ("in", "out", "progress"))
+    rows = [(k, t, moment(10 * n + i), i) for n, t in enumerate("ab") for i, k in enumerate(keys)]
+    log = spark.createDataFrame(rows, "text string, tier string, at timestamp_ntz, seq int").select(parse.alias("k"), "tier", "at", "seq")
+    for tier in "ab":
+        log.filter(F.col("tier") == tier).coalesce(1).write.mode("append").parquet(path)
+    told = V.version_stream(I.file_stream(session, path, log.schema, files_per_batch=1), "k", ["tier"], "at", ["seq"], buckets=2)
+    V.run_versions(told, out, checkpoint).awaitTermination()
+    want = D.history(log, "k", ["tier"], "at", ["seq"]).select("k", "tier", "valid_from", "valid_to", "is_current")
+    got = V.read_versions(spark, out, told.schema).select(*want.columns)
+    groups = log.select("k").distinct().count()
+    assert got.filter("is_current").count() == groups
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
